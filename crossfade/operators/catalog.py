@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossfade.functions.text import clean_name, normalize_title, standardize_text
+from crossfade.sources.tables import materialize
 
 ITEM_IDS = ["track_id", "artist_id", "album_id", "genre_id"]
 NO_ARTIST = 0  # scope of an entity without a known artist
@@ -20,12 +21,19 @@ def explode_tracks(tracks: DataFrame) -> DataFrame:
     )
 
 
+def standard_names(names: DataFrame) -> DataFrame:
+    """The name table with ``name_std``."""
+    return names.select("id", "type", "name", standardize_text("name").alias("name_std"))
+
+
 def build_entity_catalog(names: DataFrame, entity: str) -> DataFrame:
-    """Ids, names and standard names of one entity kind."""
+    """Ids, names and standard names of one entity kind, from the raw or the standard name table."""
+    if "name_std" not in names.columns:
+        names = standard_names(names)
     return names.filter(F.col("type") == entity).select(
         F.col("id").alias(f"{entity}_id"),
         F.col("name").alias(f"{entity}_name"),
-        standardize_text("name").alias(f"{entity}_name_std"),
+        F.col("name_std").alias(f"{entity}_name_std"),
     )
 
 
@@ -106,12 +114,16 @@ class Entities:
 
 
 def resolve_entities(tracks: DataFrame, names: DataFrame) -> Entities:
+    """Resolve all four kinds. The standard names (the only Python pass) and the artist map are
+    read many times below, so they are written to the shared folder first."""
+    names = materialize(standard_names(names))
     exploded = explode_tracks(tracks)
     dedup, maps = {}, {}
     for entity in ("artist", "genre"):
         catalog = build_entity_catalog(names, entity)
         dedup[entity] = dedup_entities(catalog, entity)
         maps[entity] = id_map(catalog, dedup[entity], entity)
+    maps["artist"] = materialize(maps["artist"])
     for entity in ("album", "track"):
         catalog = build_entity_catalog(names, entity)
         scoped = scope_by_artist(catalog, artists_of(exploded, maps["artist"], entity), entity)

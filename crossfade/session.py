@@ -24,6 +24,7 @@ def local_session(app_name: str = "crossfade", cpus: str | int = "*", **extra: s
     settings = {
         **SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.driver.memory": "12g",
         **extra,
