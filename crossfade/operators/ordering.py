@@ -53,8 +53,8 @@ def dense_index(df: DataFrame, id_col: str, out: str) -> DataFrame:
     )
 
 
-def exact_quantile(df: DataFrame, col: str | Column, q: float, out: str = "value") -> DataFrame:
-    """One row with the exact q-quantile: the value at row ``round((n - 1) * q)`` in sorted order.
+def exact_quantiles(df: DataFrame, col: str | Column, quantiles: dict[str, float]) -> DataFrame:
+    """One row, a column per name: the value at row ``round((n - 1) * q)`` in sorted order.
 
     One pass over ``df`` builds the histogram (map-side combined), which is written to the shared
     folder; the rest works on distinct values. Nulls are ignored. Runs a job.
@@ -66,14 +66,22 @@ def exact_quantile(df: DataFrame, col: str | Column, q: float, out: str = "value
         .groupBy("_value")
         .agg(F.count("*").alias("_n"))
     )
-    position = scalar(histogram, F.round((F.sum("_n") - 1) * F.lit(float(q))))
+    last = scalar(histogram, F.sum("_n") - 1)
+
+    def at(q: float) -> Column:
+        return F.min(F.when(F.col("_upto") > F.round(F.col("_last") * F.lit(float(q))), F.col("_value")))
+
     return (
         running_total(histogram, "_value", "_n", "_upto")
-        .filter(F.col("_upto") > position)
-        .agg(F.min("_value").alias(out))
+        .withColumn("_last", last)
+        .agg(*(at(q).alias(name) for name, q in quantiles.items()))
     )
 
 
+def exact_quantile(df: DataFrame, col: str | Column, q: float, out: str = "value") -> DataFrame:
+    return exact_quantiles(df, col, {out: q})
+
+
 def split_row_number(
     df: DataFrame, keys: list[str], slice_col: str, order: list[Column], out: str
 ) -> DataFrame:

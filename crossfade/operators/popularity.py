@@ -23,8 +23,7 @@ def popularity(events: DataFrame, method: str = "listen_count") -> DataFrame:
 
 def top_popular(scores: DataFrame, n: int = 100, catalog: DataFrame | None = None) -> DataFrame:
     """The n best tracks in order, with name, artist and group when a catalog is given."""
-    best_first = [F.desc("popularity_score"), F.col("track_id")]
-    top = scores.orderBy(*best_first).limit(n)
+    top = first_n(scores, n)
     if catalog is None:
         return top
     # at most n rows reach either broadcast, so the catalog itself is never shuffled
@@ -36,15 +35,19 @@ def top_popular(scores: DataFrame, n: int = 100, catalog: DataFrame | None = Non
     return (
         top.join(F.broadcast(metadata), "track_id", "left")
         .select("track_id", "popularity_score", "track_clean", "artist_id", "track_group_id")
-        .orderBy(*best_first)
+        .orderBy(F.desc("popularity_score"), "track_id")
     )
 
 
+def first_n(top: DataFrame, n: int) -> DataFrame:
+    """Cut to the n best rows, whatever was passed: the bound of every broadcast of ``top``."""
+    return top.orderBy(F.desc("popularity_score"), "track_id").limit(n)
+
+
 def as_ranked_list(top: DataFrame) -> Column:
-    """A top-n table as one sorted array of (track_id, popularity_score), for use in other plans.
+    """A ``first_n`` table as one sorted array of (track_id, popularity_score).
 
-    ``top`` must be cut to n rows already; the array is a scalar subquery, so users meet it as a
-    constant and no join is planned.
+    The array is a scalar subquery, so users meet it as a constant and no join is planned.
     """
     entry = F.struct(
         (-F.col("popularity_score")).alias("key"),
@@ -55,14 +58,15 @@ def as_ranked_list(top: DataFrame) -> Column:
 
 
 def recommend_popular(
-    users: DataFrame, history: DataFrame, top: DataFrame, k: int = 10
+    users: DataFrame, history: DataFrame, top: DataFrame, k: int = 10, n: int = 100
 ) -> DataFrame:
-    """The k most popular tracks each user has not heard.
+    """The k tracks of the n most popular ones that come first among those a user has not heard.
 
     Only history rows about the n top tracks matter. They are picked with an n-row broadcast and
     collapse to at most n ids per user (map-side combined), so one small shuffle on the user
     replaces the users x n pairs an anti-join would need.
     """
+    top = first_n(top.select("track_id", "popularity_score"), n)
     heard = (
         history.select("user_id", "track_id")
         .join(F.broadcast(top.select("track_id")), "track_id", "left_semi")

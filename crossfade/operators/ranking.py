@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 
 from crossfade.functions.scaling import divide_by_max, min_max_scale
 from crossfade.operators.ordering import hash_order, sample_keys, split_row_number
-from crossfade.operators.popularity import as_ranked_list
+from crossfade.operators.popularity import as_ranked_list, first_n
 from crossfade.session import shared_dir
 from crossfade.sources.tables import materialize
 
@@ -52,9 +52,10 @@ def track_features(catalog: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def popular_candidates(users: DataFrame, top: DataFrame) -> DataFrame:
-    """Every user with every top track, score / best score. ``top`` has n rows at most."""
-    scaled = divide_by_max(top.select("track_id", "popularity_score"), "popularity_score")
+def popular_candidates(users: DataFrame, top: DataFrame, n: int = 100) -> DataFrame:
+    """Every user with each of the n top tracks, score / best score."""
+    best = first_n(top.select("track_id", "popularity_score"), n)
+    scaled = divide_by_max(best, "popularity_score")
     return (
         users.select("user_id")
         .distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crossfade.functions.scaling import scalar
-from crossfade.operators.ordering import exact_quantile
+from crossfade.operators.ordering import exact_quantiles
 
 
 def top_items_report(events: DataFrame, catalog: DataFrame, n: int = 10) -> DataFrame:
@@ -80,10 +80,7 @@ def describe(df: DataFrame) -> DataFrame:
 
     def profile(name: str) -> DataFrame:
         x = F.col(name).cast("double")
-        quartiles = {
-            f"p{int(q * 100)}": scalar(exact_quantile(df, x, q), "value")
-            for q in (0.25, 0.5, 0.75)
-        }
+        quartiles = exact_quantiles(df, x, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
         return (
             df.agg(
                 F.count(name).alias("n"),
@@ -93,7 +90,7 @@ def describe(df: DataFrame) -> DataFrame:
                 F.min(x).alias("min"),
                 F.max(x).alias("max"),
             )
-            .withColumns(quartiles)
+            .withColumns({name: scalar(quartiles, name) for name in quartiles.columns})
             .select(
                 F.lit(name).alias("column_name"),
                 "n", "n_null", "mean", "std", "min", "p25", "p50", "p75", "max",

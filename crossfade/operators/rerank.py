@@ -1,5 +1,6 @@
 """Greedy re-ranking for relevance, popularity, novelty and genre diversity."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,30 +10,23 @@ from crossfade.functions.scaling import scalar
 
 
 def _greedy(n: int, bonus: float):
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["base", "track_id"], ascending=[False, True])
-        scores = rows["base"].to_numpy(copy=True)
-        tracks = rows["track_id"].to_numpy()
-        genres = rows["genre_id"].astype("object").where(rows["genre_id"].notna(), None).to_list()
-        open_rows = set(range(len(rows)))
-        seen, picked = set(), []
-        while open_rows and len(picked) < n:
-            for i in open_rows:
-                if genres[i] not in seen:
-                    scores[i] += bonus
-            best = min(open_rows, key=lambda i: (-scores[i], tracks[i]))
-            open_rows.remove(best)
-            if genres[best] is not None:
-                seen.add(genres[best])
-            picked.append(best)
-        return pd.DataFrame(
-            {
-                "user_id": rows["user_id"].iloc[0],
-                "track_id": tracks[picked],
-                "score": scores[picked],
-                "rank": range(1, len(picked) + 1),
-            }
-        )
+    @F.pandas_udf("array<struct<track_id: long, score: double>>")
+    def pick(bases: pd.Series, tracks: pd.Series, genres: pd.Series, alone: pd.Series) -> pd.Series:
+        answers = []
+        for scores, ids, kinds, single in zip(bases, tracks, genres, alone):
+            scores, gains = scores.copy(), np.ones(len(scores), dtype=bool)
+            is_open = np.ones(len(scores), dtype=bool)
+            answer = []
+            for _ in range(min(n, len(scores))):
+                scores[gains & is_open] += bonus
+                best = np.flatnonzero(is_open & (scores == scores[is_open].max()))
+                best = best[ids[best].argmin()]
+                is_open[best] = False
+                if not single[best]:
+                    gains &= single | (kinds != kinds[best])
+                answer.append({"track_id": int(ids[best]), "score": float(scores[best])})
+            answers.append(answer)
+        return pd.Series(answers)
 
     return pick
 
@@ -98,12 +92,17 @@ def rerank_multi_objective(
         & F.col("s.genre_id").eqNullSafe(F.col("b.genre_id"))
         & F.col("s._alone").eqNullSafe(F.col("b._alone"))
     )
+    rows = F.collect_list(
+        F.struct("base", "track_id", F.coalesce("genre_id", F.lit(0).cast("long")).alias("genre"),
+                 F.col("genre_id").isNull().alias("alone"))
+    ).alias("_rows")
+    columns = [F.col(f"_rows.{name}") for name in ("base", "track_id", "genre", "alone")]
     return (
         shortlist.alias("s")
         .join(branches.alias("b"), same_branch, "left_semi")
-        .select("user_id", "track_id", "genre_id", "base")
         .groupBy("user_id")
-        .applyInPandas(
-            _greedy(n, diversity_weight), "user_id long, track_id long, score double, rank int"
-        )
+        .agg(rows)
+        .withColumn("_picked", _greedy(n, diversity_weight)(*columns))
+        .select("user_id", F.posexplode("_picked").alias("_pos", "_rec"))
+        .select("user_id", "_rec.track_id", "_rec.score", (F.col("_pos") + 1).alias("rank"))
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from crossfade.functions import lists
 from crossfade.operators.ordering import top_k_per_key
-from crossfade.operators.popularity import as_ranked_list
+from crossfade.operators.popularity import as_ranked_list, first_n
 from crossfade.sources.tables import require_columns
 
 
@@ -23,10 +23,9 @@ def offline_recs(users: DataFrame, personal: DataFrame, top: DataFrame, k: int =
         [F.col("_order"), F.col("track_id")],
         k,
     ).select("user_id", "track_id", "rank", F.lit("personal").alias("source"))
-    best = top.orderBy(F.desc("popularity_score"), "track_id").limit(k)
     default_recs = (
         asked.join(own.select("user_id"), "user_id", "left_anti")
-        .withColumn("_top", as_ranked_list(best))
+        .withColumn("_top", as_ranked_list(first_n(top, k)))
         .select("user_id", F.posexplode("_top").alias("_pos", "_rec"))
         .select(
             "user_id",

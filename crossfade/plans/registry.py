@@ -674,14 +674,14 @@ def rec_lists(st, spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").count()
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
         .select(
             "user_id",
-            (F.col("event_id") % parts).alias("track_id"),
+            (F.col("event_id") % vectors).alias("track_id"),
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
         )
@@ -731,7 +731,7 @@ def top_genres(st, spark, sf_dir):
 
 @query
 def unheard_items(st, spark, sf_dir):
-    """Tracks of the items table that nobody heard in the training period's last part."""
+    """Catalogued tracks without any event in the test period."""
     return reports.unheard_items(st.items, st.test_events)
 
 

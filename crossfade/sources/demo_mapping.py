@@ -91,17 +91,17 @@ def personal_scores(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     scored = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("track_id"))
-        .agg((F.max("l_extendedprice") / 100000).alias("score"))
+        .agg((F.max("l_extendedprice") / 99991).alias("score"))
     )
     return top_k_per_key(scored, ["user_id"], [F.desc("score"), F.col("track_id")], k)
 
 
 def online_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, track_id, event_id, ts): the event feed, its ids folded onto the parts."""
-    parts = _read(spark, sf_dir, "part").agg(F.count("*").alias("n"))
+    """(user_id, track_id, event_id, ts): the event feed, folded onto the tracks with a vector."""
+    vectors = _read(spark, sf_dir, "embeddings").agg(F.count("*").alias("n"))
     return _read(spark, sf_dir, "events").select(
         "user_id",
-        (F.col("event_id") % parts.scalar()).alias("track_id"),
+        (F.col("event_id") % vectors.scalar()).alias("track_id"),
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
     )

@@ -30,7 +30,7 @@ def _no_versions(x: str) -> str:
 
 def _title(x: str) -> str:
     marked = rf"regexp_replace({x}, '([^\p{{L}}\p{{N}} ])', '\1' || chr(1) || ' ', 'g')"
-    words = f"list_transform(str_split({marked}, ' '), lambda w: upper(w[1]) || w[2:])"
+    words = f"list_transform(str_split({marked}, ' '), lambda w: replace(replace(upper(w[1]), 'ß', 'SS'), 'ẞ', 'SS') || w[2:])"
     return f"replace(array_to_string({words}, ' '), chr(1) || ' ', '')"
 
 
@@ -195,7 +195,7 @@ _TABLES = {
         FROM (SELECT DISTINCT user_id FROM test_ev) u CROSS JOIN top100 t
         WHERE NOT EXISTS (SELECT 1 FROM train_ev h
             WHERE h.user_id = u.user_id AND h.track_id = t.track_id)) WHERE rank <= 10""",
-    "scores": """SELECT o_custkey AS user_id, l_partkey AS track_id, max(l_extendedprice) / 100000 AS score
+    "scores": """SELECT o_custkey AS user_id, l_partkey AS track_id, max(l_extendedprice) / 99991 AS score
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
     "personal": _personal(10),
     "personal_50": _personal(50),
@@ -215,7 +215,7 @@ _TABLES = {
         LEFT JOIN group_sizes s USING (track_group_id)""",
     "personal_lists": """SELECT user_id, track_id, rank FROM personal WHERE user_id IN (
         SELECT p.user_id FROM personal p JOIN test_ev t USING (user_id, track_id))""",
-    "feed": """SELECT user_id, event_id % (SELECT count(*) FROM part) AS track_id, event_id, ts FROM events""",
+    "feed": """SELECT user_id, event_id % (SELECT count(*) FROM embeddings) AS track_id, event_id, ts FROM events""",
     "recent": """SELECT user_id, track_id, position FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS position FROM feed)
         WHERE position <= 10""",
