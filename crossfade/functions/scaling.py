@@ -17,9 +17,11 @@ def divide_by_max(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def min_max_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """``(x - min) / (max - min)``; left as it is when all values are equal."""
-    low, high = scalar(df, F.min(col)), scalar(df, F.max(col))
     x = F.col(col).cast("double")
-    return df.withColumn(out or col, F.when(high > low, (x - low) / (high - low)).otherwise(x))
+    bounds = scalar(df, F.struct(F.min(x).alias("low"), F.max(x).alias("high")))
+    low, high = F.col("_bounds.low"), F.col("_bounds.high")
+    scaled = F.when(high > low, (x - low) / (high - low)).otherwise(x)
+    return df.withColumn("_bounds", bounds).withColumn(out or col, scaled).drop("_bounds")
 
 
 def confidence(count: str | Column, alpha: float = 1.0) -> Column:

@@ -54,18 +54,19 @@ def standardize_text(col: str | Column) -> Column:
 def title_case(col: str | Column) -> Column:
     """Capital after every character that is neither letter nor digit.
 
-    Words are split at spaces, so a marked space is put behind the other word ends and taken out
-    again afterwards. Not ``initcap``: it knows spaces only and turns a first sharp s into "Ss"
-    where full upper case is "SS".
+    ``initcap`` starts words at spaces only, so a marked space is put behind the other word ends
+    and taken out again afterwards. It also turns a first sharp s into "Ss" where full upper case
+    is "SS", so texts with letters beyond ASCII go word by word.
     """
-    marked = F.regexp_replace(F.lower(_column(col)), r"([^\p{IsAlphabetic}\p{N} ])", "$1\u0001 ")
+    marked = F.regexp_replace(_column(col), r"([^\p{IsAlphabetic}\p{N} ])", "$1\u0001 ")
     words = F.transform(
-        F.split(marked, " "),
+        F.split(F.lower(marked), " "),
         lambda word: F.concat(
             F.upper(F.substring(word, 1, 1)), F.substring(word, F.lit(2), F.char_length(word))
         ),
     )
-    return F.regexp_replace(F.array_join(words, " "), "\u0001 ", "")
+    titled = F.when(marked.rlike(_NON_ASCII), F.array_join(words, " ")).otherwise(F.initcap(marked))
+    return F.regexp_replace(titled, "\u0001 ", "")
 
 
 def _without_versions(text: Column) -> Column:

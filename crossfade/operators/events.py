@@ -32,7 +32,8 @@ def build_events(
     tasks. Catalyst moves the semi-join below the count when the catalog is small enough to
     broadcast; otherwise it stays above, where AQE may split a hot track.
     """
-    threshold = scalar(quantile_threshold(interactions, quantile), "threshold")
+    # in the type of the column, so that the comparison can be pushed to the parquet reader
+    threshold = scalar(exact_quantile(interactions, "track_seq", quantile), "value")
     kept = interactions.filter(F.col("track_seq") <= threshold).select(
         "user_id", "track_id", F.to_date("started_at").alias("started_at")
     )

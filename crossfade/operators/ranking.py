@@ -105,7 +105,8 @@ def sample_negatives(candidates: DataFrame, multiplier: int = 4, seed: int = 42)
     """All positives, and per user at most ``multiplier`` negatives for each of them.
 
     Negatives are taken in the order of a seeded hash of the pair. A user with very many negatives
-    is cut into slices along that hash, each ranked in its own task.
+    is cut into slices along that hash, each ranked in its own task. ``candidates`` is read four
+    times, so pass a table or a materialized frame.
     """
     per_user = (
         candidates.groupBy("user_id")
@@ -271,13 +272,14 @@ def rank_with_model(
 ) -> DataFrame:
     """Apply a trained ranker to given candidate lists of the users found in both of them.
 
-    ``scaling`` min-max scales both scores first.
+    ``scaling`` min-max scales both scores first. The two lists (a few rows per user) are read
+    several times and therefore written to the shared folder.
     """
     both = als.select("user_id").intersect(popular.select("user_id"))
     if users is not None:
         both = both.join(users.select("user_id"), "user_id", "left_semi")
-    als = als.select(*PAIR, "als_score").join(both, "user_id", "left_semi")
-    popular = popular.select(*PAIR, "popularity_score").join(both, "user_id", "left_semi")
+    als = materialize(als.select(*PAIR, "als_score").join(both, "user_id", "left_semi"))
+    popular = materialize(popular.select(*PAIR, "popularity_score").join(both, "user_id", "left_semi"))
     if scaling:
         als = scale_candidates(als, "als_score")
         popular = scale_candidates(popular, "popularity_score")

@@ -1,5 +1,7 @@
 """Greedy re-ranking for relevance, popularity, novelty and genre diversity."""
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,25 +12,31 @@ from crossfade.functions.scaling import scalar
 
 
 def _greedy(n: int, bonus: float):
-    @F.pandas_udf("array<struct<track_id: long, score: double>>")
-    def pick(bases: pd.Series, tracks: pd.Series, genres: pd.Series, alone: pd.Series) -> pd.Series:
-        answers = []
-        for scores, ids, kinds, single in zip(bases, tracks, genres, alone):
-            scores, gains = scores.copy(), np.ones(len(scores), dtype=bool)
-            is_open = np.ones(len(scores), dtype=bool)
-            answer = []
-            for _ in range(min(n, len(scores))):
-                scores[gains & is_open] += bonus
-                best = np.flatnonzero(is_open & (scores == scores[is_open].max()))
-                best = best[ids[best].argmin()]
-                is_open[best] = False
-                if not single[best]:
-                    gains &= single | (kinds != kinds[best])
-                answer.append({"track_id": int(ids[best]), "score": float(scores[best])})
-            answers.append(answer)
-        return pd.Series(answers)
+    def pick(scores, ids, genres, alone) -> list[tuple[int, float]]:
+        scores, gains = scores.copy(), np.ones(len(scores), dtype=bool)
+        is_open = np.ones(len(scores), dtype=bool)
+        picked = []
+        for _ in range(min(n, len(scores))):
+            scores[gains & is_open] += bonus
+            best = np.flatnonzero(is_open & (scores == scores[is_open].max()))
+            best = best[ids[best].argmin()]
+            is_open[best] = False
+            if not alone[best]:
+                gains &= alone | (genres != genres[best])
+            picked.append((ids[best], scores[best]))
+        return picked
+
+    def pick_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for users in batches:
+            columns = [users[name] for name in ("user_id", "bases", "tracks", "genres", "alone")]
+            rows = [
+                (user, track, score, place)
+                for user, *lists in zip(*columns)
+                for place, (track, score) in enumerate(pick(*lists), 1)
+            ]
+            yield pd.DataFrame(rows, columns=["user_id", "track_id", "score", "rank"])
 
-    return pick
+    return pick_all
 
 
 def rerank_multi_objective(
@@ -92,17 +100,25 @@ def rerank_multi_objective(
         & F.col("s.genre_id").eqNullSafe(F.col("b.genre_id"))
         & F.col("s._alone").eqNullSafe(F.col("b._alone"))
     )
-    rows = F.collect_list(
-        F.struct("base", "track_id", F.coalesce("genre_id", F.lit(0).cast("long")).alias("genre"),
-                 F.col("genre_id").isNull().alias("alone"))
-    ).alias("_rows")
-    columns = [F.col(f"_rows.{name}") for name in ("base", "track_id", "genre", "alone")]
+    row = F.struct(
+        "base",
+        "track_id",
+        F.coalesce("genre_id", F.lit(0).cast("long")).alias("genre"),
+        F.col("genre_id").isNull().alias("alone"),
+    )
     return (
         shortlist.alias("s")
         .join(branches.alias("b"), same_branch, "left_semi")
         .groupBy("user_id")
-        .agg(rows)
-        .withColumn("_picked", _greedy(n, diversity_weight)(*columns))
-        .select("user_id", F.posexplode("_picked").alias("_pos", "_rec"))
-        .select("user_id", "_rec.track_id", "_rec.score", (F.col("_pos") + 1).alias("rank"))
+        .agg(F.collect_list(row).alias("_rows"))
+        .select(
+            "user_id",
+            F.col("_rows.base").alias("bases"),
+            F.col("_rows.track_id").alias("tracks"),
+            F.col("_rows.genre").alias("genres"),
+            F.col("_rows.alone").alias("alone"),
+        )
+        .mapInPandas(
+            _greedy(n, diversity_weight), "user_id long, track_id long, score double, rank int"
+        )
     )

@@ -420,7 +420,7 @@ def users_with_positive(st, spark, sf_dir):
 
 @query
 def sample_negatives(st, spark, sf_dir):
-    return ranking.sample_negatives(_labelled(st, spark, sf_dir))
+    return ranking.sample_negatives(tables.materialize(_labelled(st, spark, sf_dir)))
 
 
 @query
@@ -605,11 +605,8 @@ def _offline(st, spark, sf_dir, k):
 
 
 def _similar(st, spark, sf_dir):
-    if "similar_vectors" not in st._done:
-        st._done["similar_vectors"] = tables.materialize(
-            similar.similar_items(demo.item_vectors(spark, sf_dir), K)
-        )
-    return st._done["similar_vectors"]
+    vectors = demo.item_vectors(spark, sf_dir)
+    return st.table("similar_vectors", lambda: similar.similar_items(vectors, K))
 
 
 @query

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.functions.scaling import scalar
 from crossfade.operators import als, catalog, evaluate, events, popularity, ranking, similar
 from crossfade.sources import tables
 
@@ -29,14 +28,16 @@ class Parameters:
     negatives: int = 4
     evaluation_k: int = 10
     seed: int = 42
+    # > 1: the two largest results are written in that many key buckets and resume by bucket
+    rec_buckets: int = 1
 
 
 @dataclass
 class Stages:
     """Lazily written tables under ``root``; asking for one writes it and what it needs, once.
 
-    Steps hand over through files: every table is computed once however many steps read it, a
-    failed run resumes from the last finished table, and Spark plans each step with exact sizes.
+    Steps hand over through files: every table is computed once however many steps read it, and
+    Spark plans each step with exact sizes. With ``resume`` tables already there are kept.
     """
 
     spark: SparkSession
@@ -45,27 +46,39 @@ class Stages:
     names: DataFrame
     interactions: DataFrame
     parameters: Parameters = field(default_factory=Parameters)
+    resume: bool = False
     _done: dict = field(default_factory=dict)
 
-    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._done:
-            self._done[name] = tables.write_table(build(), self.root, name)
+            found = tables.existing_table(self.spark, self.root, name) if self.resume else None
+            if found is None:
+                found = tables.write_table(build(), self.root, name)
+            self._done[name] = found
         return self._done[name]
 
+    def _bucketed(self, name: str, keys: DataFrame, key: str, build) -> DataFrame:
+        """``build(keys)``, as one write or in key buckets."""
+        if self.parameters.rec_buckets <= 1:
+            return build(keys)
+        return tables.write_in_buckets(
+            keys, key, build, f"{self.root}/buckets/{name}", self.parameters.rec_buckets
+        )
+
     # preprocessing
     @property
     def items(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "items", lambda: catalog.build_items(catalog.resolve_entities(self.tracks, self.names))
         )
 
     @property
     def catalog(self) -> DataFrame:
-        return self._table("tracks_catalog_clean", lambda: catalog.build_item_catalog(self.items))
+        return self.table("tracks_catalog_clean", lambda: catalog.build_item_catalog(self.items))
 
     @property
     def events(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "events",
             lambda: events.build_events(
                 self.interactions, self.catalog, self.parameters.interaction_quantile
@@ -74,13 +87,13 @@ class Stages:
 
     @property
     def user_encoder(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "user_encoder", lambda: events.encode_labels(self.events, "user_id", "user_idx")
         )
 
     @property
     def item_encoder(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "item_encoder", lambda: events.encode_labels(self.events, "track_id", "item_idx")
         )
 
@@ -88,20 +101,20 @@ class Stages:
     @property
     def threshold(self) -> DataFrame:
         p = self.parameters
-        return self._table(
+        return self.table(
             "date_threshold",
             lambda: events.date_threshold(self.events, p.train_ratio, p.date_threshold),
         )
 
     @property
     def train_events(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "train_events", lambda: events.chrono_split(self.events, self.threshold)[0]
         )
 
     @property
     def test_events(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "test_events", lambda: events.chrono_split(self.events, self.threshold)[1]
         )
 
@@ -110,23 +123,23 @@ class Stages:
 
     @property
     def train_matrix(self) -> DataFrame:
-        return self._table("train_matrix", lambda: self._matrix(self.train_events))
+        return self.table("train_matrix", lambda: self._matrix(self.train_events))
 
     @property
     def test_matrix(self) -> DataFrame:
-        return self._table("test_matrix", lambda: self._matrix(self.test_events))
+        return self.table("test_matrix", lambda: self._matrix(self.test_events))
 
     # recommendations
     @property
     def popularity(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "popularity_track_scores",
             lambda: popularity.popularity(self.events, self.parameters.popularity_method),
         )
 
     @property
     def top_popular(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "top_popular",
             lambda: popularity.top_popular(self.popularity, self.parameters.top_n, self.catalog),
         )
@@ -135,6 +148,7 @@ class Stages:
     def als_model(self):
         p, path = self.parameters, f"{self.root}/models/als"
         if "als_model" not in self._done:
+            # always fitted anew: a model folder does not show whether it is complete
             model = als.fit_als(
                 self.train_matrix, p.factors, p.regularization, p.iterations, p.alpha, p.seed
             )
@@ -144,25 +158,30 @@ class Stages:
 
     @property
     def personal_als(self) -> DataFrame:
-        return self._table(
-            "personal_als",
-            lambda: als.recommend_als(
+        def build(users: DataFrame | None) -> DataFrame:
+            return als.recommend_als(
                 self.als_model,
                 self.user_encoder,
                 self.item_encoder,
                 self.train_events,
                 self.parameters.n_recs,
-            ),
+                users,
+            )
+
+        users = self.user_encoder.select("user_id")
+        return self.table(
+            "personal_als", lambda: self._bucketed("personal_als", users, "user_id", build)
         )
 
     @property
     def similar(self) -> DataFrame:
-        def build() -> DataFrame:
+        def build(only: DataFrame) -> DataFrame:
             vectors = als.item_vectors(self.als_model, self.item_encoder)
             features = vectors.toDF("track_id", "features")
-            return similar.similar_items(features, self.parameters.similar_k)
+            return similar.similar_items(features, self.parameters.similar_k, only)
 
-        return self._table("similar", build)
+        keys = self.item_encoder.select("track_id")
+        return self.table("similar", lambda: self._bucketed("similar", keys, "track_id", build))
 
     @property
     def recommendations(self) -> DataFrame:
@@ -184,7 +203,7 @@ class Stages:
             ranking.save_ranker(model, f"{self.root}/models/ranker")
             return recs
 
-        return self._table("recommendations", build)
+        return self.table("recommendations", build)
 
     @property
     def ranker(self):
@@ -198,7 +217,7 @@ class Stages:
 
     @property
     def popular_recs(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "evaluated_popularity",
             lambda: popularity.recommend_popular(
                 self.test_users, self.train_events, self.top_popular, self.parameters.n_recs
@@ -212,7 +231,7 @@ class Stages:
 
     @property
     def ranked_recs(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "evaluated_ranked",
             lambda: ranking.rank_with_model(
                 self.ranker,
@@ -255,17 +274,19 @@ class Stages:
         return tables.write_table(comparison, self.root, "models_comparison")
 
 
-def threshold_day(stages: Stages):
-    """The last training day as a scalar subquery."""
-    return scalar(stages.threshold, "threshold")
-
-
 def run_batch(
-    spark: SparkSession, raw_dir: str, out_dir: str, parameters: Parameters | None = None
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    parameters: Parameters | None = None,
+    resume: bool = False,
 ) -> DataFrame:
-    """Raw tables to recommendations and their evaluation; returns a report of written tables."""
+    """Raw tables to recommendations and their evaluation; returns a report of written tables.
+
+    ``resume`` goes on from the tables of a run that was cut short.
+    """
     tracks, names, interactions = tables.load_raw(spark, raw_dir)
-    stages = Stages(spark, out_dir, tracks, names, interactions, parameters or Parameters())
+    stages = Stages(spark, out_dir, tracks, names, interactions, parameters or Parameters(), resume)
     stages.similar
     stages.recommendations
     stages.test_matrix

@@ -77,6 +77,14 @@ def write_table(df: DataFrame, root: str, table: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def existing_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """The table if it was written completely, else None."""
+    try:
+        return spark.read.parquet(f"{root}/{table}.parquet")
+    except AnalysisException:
+        return None
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: the input is computed once however often the
     result is used, the lineage is cut, and Spark knows the exact size. Runs a job."""

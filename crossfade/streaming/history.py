@@ -66,21 +66,29 @@ def stream_history(events: DataFrame, max_events: int = 10) -> DataFrame:
     )
 
 
-def write_batches(updates: DataFrame, path: str, checkpoint: str, transform=None) -> StreamingQuery:
-    """Run an update stream over all input there is, one folder per micro-batch.
+def write_batches(
+    updates: DataFrame, path: str, checkpoint: str, transform=None, **trigger
+) -> StreamingQuery:
+    """Run an update stream, one folder per micro-batch.
 
     A micro-batch that is run again after a failure overwrites its own folder, so each is kept
-    exactly once. ``transform`` maps the rows of a micro-batch before the write.
+    exactly once. ``transform`` maps the rows of a micro-batch before the write. ``trigger`` is
+    passed on (``processingTime="1 minute"``); by default all input there is gets processed.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        out = transform(rows) if transform else rows
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # the state is advanced once, however often the transformation reads the rows
+        rows = rows.persist()
+        try:
+            out = transform(rows) if transform else rows
+            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     return (
         updates.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(write)
         .start()
     )

@@ -18,6 +18,7 @@ def stream_blend(
     checkpoint: str,
     k: int = 50,
     num_events: int = 3,
+    **trigger,
 ) -> StreamingQuery:
     """Blend the lists of the users in each micro-batch of ``stream_history`` output.
 
@@ -25,12 +26,8 @@ def stream_blend(
     """
 
     def answer(rows: DataFrame) -> DataFrame:
-        rows = rows.persist()
-        try:
-            online = online_recs(rows, similar, k, num_events)
-            offline = offline_recs(rows.select("user_id"), personal, top, k)
-            return blend(online, offline, k)
-        finally:
-            rows.unpersist()
-
-    return write_batches(history, path, checkpoint, answer)
+        online = online_recs(rows, similar, k, num_events)
+        offline = offline_recs(rows.select("user_id"), personal, top, k)
+        return blend(online, offline, k)
+
+    return write_batches(history, path, checkpoint, answer, **trigger)

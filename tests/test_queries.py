@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
-from crossfade.plans.stages import Parameters, run_batch
+from crossfade.plans.stages import Parameters, Stages, run_batch
 from crossfade.sources import demo_mapping as demo
 from crossfade.sources import tables
 
@@ -56,7 +56,7 @@ def test_run_batch(spark, folder):
         tables.write_table(df, f"{folder}/raw", name)
     report = run_batch(
         spark, f"{folder}/raw", f"{folder}/out",
-        Parameters(factors=8, iterations=3, ranker_iterations=3, evaluation_k=5),
+        Parameters(factors=8, iterations=3, ranker_iterations=3, evaluation_k=5, rec_buckets=3),
     )
     rows = {r.table_name: r.n_rows for r in report.collect()}
     assert rows["models_comparison"] == 3
@@ -67,3 +67,16 @@ def test_run_batch(spark, folder):
     personal = spark.read.parquet(f"{folder}/out/personal_als.parquet")
     train = spark.read.parquet(f"{folder}/out/train_events.parquet")
     assert personal.join(train, ["user_id", "track_id"]).count() == 0
+
+
+def test_stages_resume(spark, folder):
+    def stages(resume):
+        return Stages(
+            spark, folder, demo.tracks(spark, SF_DIR), demo.catalog_names(spark, SF_DIR),
+            demo.interactions(spark, SF_DIR), Parameters(), resume,
+        )
+
+    first = stages(False).catalog
+    again = stages(True)
+    again.table("tracks_catalog_clean", lambda: pytest.fail("written twice"))
+    assert again.catalog.count() == first.count()
