@@ -59,14 +59,19 @@ def title_case(col: str | Column) -> Column:
     is "SS", so texts with letters beyond ASCII go word by word.
     """
     marked = F.regexp_replace(_column(col), r"([^\p{IsAlphabetic}\p{N} ])", "$1\u0001 ")
-    words = F.transform(
-        F.split(F.lower(marked), " "),
-        lambda word: F.concat(
-            F.upper(F.substring(word, 1, 1)), F.substring(word, F.lit(2), F.char_length(word))
-        ),
+
+    def by_word(text: Column) -> Column:
+        first = lambda word: F.upper(F.substring(word, 1, 1))
+        rest = lambda word: F.substring(word, F.lit(2), F.char_length(word))
+        words = F.transform(F.split(F.lower(text), " "), lambda w: F.concat(first(w), rest(w)))
+        return F.array_join(words, " ")
+
+    # a one-element transform binds the text, which is otherwise computed for each mention of it
+    titled = F.transform(
+        F.array(marked),
+        lambda text: F.when(text.rlike(_NON_ASCII), by_word(text)).otherwise(F.initcap(text)),
     )
-    titled = F.when(marked.rlike(_NON_ASCII), F.array_join(words, " ")).otherwise(F.initcap(marked))
-    return F.regexp_replace(titled, "\u0001 ", "")
+    return F.regexp_replace(titled[0], "\u0001 ", "")
 
 
 def _without_versions(text: Column) -> Column:

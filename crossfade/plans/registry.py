@@ -596,8 +596,9 @@ def _personal_lists(st, spark, sf_dir):
 
 
 def _offline(st, spark, sf_dir, k):
+    feed = demo.online_events(spark, sf_dir).select("user_id")
     return serving.offline_recs(
-        st.events.select("user_id"),
+        st.events.select("user_id").unionByName(feed),
         _personal_lists(st, spark, sf_dir),
         st.top_popular,
         k,

@@ -103,7 +103,7 @@ def _personal(k: int) -> str:
 def _offline(k: int) -> str:
     return f"""SELECT user_id, track_id, rank, 'personal' AS source FROM personal_lists WHERE rank <= {k}
         UNION ALL SELECT u.user_id, t.track_id, t.place, 'default'
-        FROM (SELECT DISTINCT user_id FROM ev) u CROSS JOIN top100 t
+        FROM (SELECT user_id FROM ev UNION SELECT user_id FROM feed) u CROSS JOIN top100 t
         WHERE t.place <= {k} AND u.user_id NOT IN (SELECT user_id FROM personal_lists)"""
 
 
