@@ -16,8 +16,8 @@ from crossfade.plans import registry  # noqa: E402
 from crossfade.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "standardized_text", "cleaned_name", "items", "item_catalog", "quantile_threshold",
-    "user_item_events", "user_encoder", "item_encoder", "date_threshold", "train_events",
+    "standardize_text", "clean_name", "items", "item_catalog", "quantile_threshold",
+    "events", "user_encoder", "item_encoder", "date_threshold", "train_events",
     "split_stats", "interaction_matrix", "data_summary", "pop_listen_count", "pop_user_count",
     "top_popular", "recommend_popular", "track_features", "merge_candidates", "labels",
     "sample_negatives", "rerank_multi_objective", "als_factors", "als_recs", "als_similar",

@@ -60,11 +60,12 @@ def title_case(col: str | Column) -> Column:
     """
     marked = F.regexp_replace(_column(col), r"([^\p{IsAlphabetic}\p{N} ])", "$1\u0001 ")
 
+    def capital(word: Column) -> Column:
+        rest = F.substring(word, F.lit(2), F.char_length(word))
+        return F.concat(F.upper(F.substring(word, 1, 1)), rest)
+
     def by_word(text: Column) -> Column:
-        first = lambda word: F.upper(F.substring(word, 1, 1))
-        rest = lambda word: F.substring(word, F.lit(2), F.char_length(word))
-        words = F.transform(F.split(F.lower(text), " "), lambda w: F.concat(first(w), rest(w)))
-        return F.array_join(words, " ")
+        return F.array_join(F.transform(F.split(F.lower(text), " "), capital), " ")
 
     # a one-element transform binds the text, which is otherwise computed for each mention of it
     titled = F.transform(

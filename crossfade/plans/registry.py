@@ -81,12 +81,12 @@ def plain(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(function: Callable) -> Callable:
-    """Register ``name(stages, spark, sf_dir)`` under its own name."""
+    """Register ``name_query(stages, spark, sf_dir)`` or ``name(...)`` under ``name``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(function(stages(spark, sf_dir), spark, sf_dir))
 
-    _queries[function.__name__] = run
+    _queries[function.__name__.removesuffix("_query")] = run
     return function
 
 
@@ -159,17 +159,17 @@ def _standard_documents(spark, sf_dir):
 
 
 @query
-def standardized_text(st, spark, sf_dir):
+def standardize_text_query(st, spark, sf_dir):
     return _standard_documents(spark, sf_dir)
 
 
 @query
-def cleaned_name(st, spark, sf_dir):
+def clean_name_query(st, spark, sf_dir):
     return _standard_documents(spark, sf_dir).select("doc_id", clean_name("text").alias("text"))
 
 
 @query
-def normalized_title(st, spark, sf_dir):
+def normalize_title_query(st, spark, sf_dir):
     return _standard_documents(spark, sf_dir).select(
         "doc_id", normalize_title("text").alias("text")
     )
@@ -217,7 +217,7 @@ def dedup_items_scoped(st, spark, sf_dir):
 
 
 @query
-def id_maps(st, spark, sf_dir):
+def id_map(st, spark, sf_dir):
     maps = _entities(st).maps
     return _stack(
         df.toDF("raw_id", "canonical_id").withColumn("entity", F.lit(entity))
@@ -253,12 +253,12 @@ def quantile_threshold(st, spark, sf_dir):
 
 
 @query
-def user_item_events(st, spark, sf_dir):
+def events_query(st, spark, sf_dir):
     return events.build_events(st.interactions, st.catalog)
 
 
 @query
-def user_item_events_remapped(st, spark, sf_dir):
+def events_remapped(st, spark, sf_dir):
     """Events with raw track ids replaced by canonical ones."""
     return events.build_events(
         st.interactions, st.catalog, track_map=_entities(st).maps["track"]

@@ -362,9 +362,9 @@ _QUERIES = {
     "publish_roundtrip": """SELECT t.track_id, t.popularity_score, c.track_clean, c.artist_id, c.track_group_id
         FROM top100 t LEFT JOIN cat c USING (track_id)""",
     "bucketed_write": f"SELECT user_id, track_id, {_r('popularity_score', 'popularity_score')}, rank FROM pop_recs",
-    "standardized_text": f"SELECT doc_id, {_std('text')} AS text FROM documents",
-    "cleaned_name": f"SELECT doc_id, {_clean('std')} AS text FROM (SELECT doc_id, {_std('text')} AS std FROM documents)",
-    "normalized_title": f"SELECT doc_id, {_norm('std')} AS text FROM (SELECT doc_id, {_std('text')} AS std FROM documents)",
+    "standardize_text": f"SELECT doc_id, {_std('text')} AS text FROM documents",
+    "clean_name": f"SELECT doc_id, {_clean('std')} AS text FROM (SELECT doc_id, {_std('text')} AS std FROM documents)",
+    "normalize_title": f"SELECT doc_id, {_norm('std')} AS text FROM (SELECT doc_id, {_std('text')} AS std FROM documents)",
     "cleaned_catalog_names": f"""SELECT id, type, name_std, {_clean('name_std')} AS clean,
         {_norm('name_std')} AS title FROM names_std""",
     "explode_items": "SELECT track_id, album_id, artist_id, genre_id FROM exploded",
@@ -374,7 +374,7 @@ _QUERIES = {
         clean_name FROM album_dedup""",
     "dedup_items_scoped": """SELECT name_std AS track_name_std, artist AS artist_id_canonical, canonical_id,
         clean_name FROM track_dedup""",
-    "id_maps": " UNION ALL ".join(
+    "id_map": " UNION ALL ".join(
         f"SELECT id AS raw_id, canonical_id, '{entity}' AS entity FROM {entity}_map"
         for entity in ("artist", "genre", "album", "track")
     ),
@@ -383,8 +383,8 @@ _QUERIES = {
     "items": "SELECT * FROM items",
     "item_catalog": "SELECT * FROM cat",
     "quantile_threshold": f"SELECT CAST({_nearest('interactions', 'track_seq', 0.95)} AS DOUBLE) AS threshold",
-    "user_item_events": "SELECT * FROM ev",
-    "user_item_events_remapped": """SELECT k.user_id, m.canonical_id AS track_id, count(*) AS listen_count,
+    "events": "SELECT * FROM ev",
+    "events_remapped": """SELECT k.user_id, m.canonical_id AS track_id, count(*) AS listen_count,
         max(k.day) AS last_listen FROM kept k JOIN track_map m ON k.track_id = m.id
         WHERE m.canonical_id IN (SELECT track_id FROM cat) GROUP BY 1, 2""",
     "user_encoder": "SELECT * FROM user_enc",
