@@ -37,18 +37,18 @@ def local_session(app_name: str = "crossfade", cpus: str | int = "*", **extra: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or the checkpoint folder the
+    context was given.
 
-    Only a local master may run without the setting; it then gets a fresh temporary folder. On a
-    cluster a missing setting is an error, since a machine-local folder dies with its machine.
+    Only a local master may run without either; it then gets a fresh temporary folder. On a cluster
+    a missing setting is an error, since a machine-local folder dies with its machine.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="crossfade-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        folder = tempfile.mkdtemp(prefix="crossfade-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return configured.rstrip("/")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
