@@ -20,7 +20,26 @@ reach as (select rep as node, rep as seen from classes
 comp as (select node, min(seen) c from reach group by 1)
 """
 
+CONTAMINATION = """
+with b as (select item_id, {words} w from benchmark where item_id is not null),
+windows as (select distinct item_id, len(x) n, x from (
+  select item_id, unnest(case when len(w) = 0 then [] when len(w) < 10 then [w]
+    else list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) end) x from b)),
+d as (select doc_id, {words} w from documents),
+lengths as (select distinct n from windows),
+runs as (select doc_id, n, unnest(range(1, len(w) - n + 2)) i, w from d, lengths where len(w) >= n),
+hits as (select r.doc_id, r.i, r.n, x.item_id
+  from (select doc_id, n, i, w[i:i + n - 1] x from runs) r join windows x on x.n = r.n and x.x = r.x),
+places as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from hits) group by 1),
+held as (select doc_id, count(distinct item_id) n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) names
+  from hits group by 1)
+select d.doc_id, len(d.w) n_words, coalesce(p.n_hit, 0) n_hit, coalesce(h.n_items, 0) n_items,
+  sha256(coalesce(h.names, '')) items_sha256, coalesce(p.n_hit, 0) > 0 contaminated
+from d left join places p using (doc_id) left join held h using (doc_id)
+""".format(words=_LETTER_WORDS)
+
 SQL = {
+    "op3_contamination": CONTAMINATION,
     "op9_ngram_jaccard": JACCARD.format(words=_SPACE_WORDS, width=3, percent=90)
     + """select d.doc_id, len(d.s) as n_shingles, coalesce(comp.c, d.doc_id) as component_id
 from sets d left join classes c on len(d.s) > 0 and d.s = c.s left join comp on comp.node = c.rep""",

@@ -4,18 +4,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import ngram_join
+from crossfade.llm import decontaminate, ngram_join
 from crossfade.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_contamination": op3_contamination,
         "op9_ngram_jaccard": op9_ngram_jaccard,
     }
 
