@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import decontaminate, ngram_join
+from crossfade.llm import context_tree, decontaminate, ngram_join
 from crossfade.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,15 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.document_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_contamination": op3_contamination,
         "op9_ngram_jaccard": op9_ngram_jaccard,
+        "op10_context_tree": op10_context_tree,
     }
 
 
