@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import context_tree, decontaminate, ngram_join
+from crossfade.llm import context_tree, decontaminate, ngram_join, toxicity
 from crossfade.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +28,7 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_contamination": op3_contamination,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_context_tree": op10_context_tree,
