@@ -4,9 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import context_tree, decontaminate, ngram_join, toxicity
+from crossfade.llm import context_tree, decontaminate, ngram_join, token_files, toxicity
 from crossfade.llm.tables import table
 
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public vocabularies keeps this file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -14,6 +22,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -29,6 +41,7 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_token_files": op2_token_files,
         "op3_contamination": op3_contamination,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_context_tree": op10_context_tree,
