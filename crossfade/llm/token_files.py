@@ -6,9 +6,10 @@ indexes, minima and maxima and a Bloom filter on doc_id. A reader takes stripes
 of one id skips the stripes that cannot hold it. A second, narrow table in the same format gives the start
 of each document in the stream of all ids.
 
-Encoding uses the tokenizers library. Byte-level pieces never reach over a single space between two other
-characters, so a text is the concatenation of its runs that begin at such spaces, and each distinct run of a
-task is encoded once. The tokenizer's file is a parameter; the workers read it from their own disks.
+Encoding uses the tokenizers library. The byte-level vocabulary's own splitting rule never joins what stands
+before and after a single space, on either side of a single line end, or a letter and the mark that follows;
+a text is therefore the concatenation of its runs between such cuts, and each distinct run of a worker is
+encoded once. The tokenizer's file is a parameter; the workers read it from their own disks.
 """
 
 import os
@@ -23,11 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crossfade.llm.hashtable import HashTable
 from crossfade.llm.words import hash_spans, hash_sums, ragged, text_blocks
 from crossfade.session import shared_dir
 
 END_ID = 0
-RUNS_KEPT = 400_000  # distinct runs that a worker remembers before it starts anew
+RUNS_KEPT = 1_200_000  # distinct runs that a worker remembers before it starts anew
 
 ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
@@ -38,7 +40,7 @@ ORC_OPTIONS = {
 
 
 class _Runs:
-    """Ids of runs already seen, as one long array."""
+    """Ids of the runs already seen: one long array, and a table from a run's hash to its place there."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
@@ -46,46 +48,65 @@ class _Runs:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose piece begins with a space
         for piece, number in vocabulary.items():
             self.opens[number] = piece.startswith("Ġ")
+        self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.old = self.new = HashTable(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.old_keys, self.new_keys = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def look_up(self, hashes: np.ndarray, texts) -> np.ndarray:
-        """Places of these distinct runs; ``texts(i)`` gives the bytes of the i-th."""
-        if len(self.place) > RUNS_KEPT:
+    def look_up(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places of these distinct runs of the block's bytes."""
+        if len(self.sizes) > RUNS_KEPT:
             self.clear()
-        keys = hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.place]
-        if new:
-            runs = [texts(i) for i in new]
-            ids = self._encode(runs)
-            sizes = np.array([len(x) for x in ids], np.int64)
-            for n, i in enumerate(new, len(self.sizes)):
-                self.place[keys[i]] = n
+        place, known = self.old.find(keys)
+        recent, also = self.new.find(keys)
+        place, known = np.where(also, recent, place), known | also
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            missing = missing[np.argsort(~self._plain(data, start[missing], end[missing]), kind="stable")]
+            place[missing] = len(self.sizes) + np.arange(len(missing))
+            sizes, ids = self._encode(data, start[missing], end[missing])
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, *(np.array(x, np.int32) for x in ids)])
-        return np.array([self.place[key] for key in keys], np.int64)
-
-    def _encode(self, runs: list[bytes]) -> list:
-        """Plain words behind one space are encoded together and split where a piece opens with a space;
-        all other runs, also those that could hold a special token, one by one."""
-        out: list = [None] * len(runs)
-        words = [run.decode() for run in runs]
-        plain = [i for i, run in enumerate(words) if run[0] == " " and "<" not in run and run.split() == [run[1:]]]
-        for lo in range(0, len(plain), 2000):
-            part = plain[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode("".join(words[i] for i in part), add_special_tokens=False).ids, np.int32)
-            heads = np.flatnonzero(self.opens[ids])
-            if len(heads) == len(part):
-                for i, piece in zip(part, np.split(ids, heads[1:]), strict=True):
-                    out[i] = piece
-        rest = [i for i in range(len(runs)) if out[i] is None]
-        for i, found in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = found.ids
-        return out
+            self.ids = np.concatenate([self.ids, ids])
+            self.new_keys = np.concatenate([self.new_keys, keys[missing]])
+            if len(self.new_keys) > 50_000 + len(self.old_keys) // 4:
+                self.old_keys = np.concatenate([self.old_keys, self.new_keys])
+                self.old = HashTable(self.old_keys, np.arange(len(self.old_keys)))
+                self.new_keys = self.new_keys[:0]
+            self.new = HashTable(self.new_keys, len(self.old_keys) + np.arange(len(self.new_keys)))
+        return place
+
+    @staticmethod
+    def _plain(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Runs of a space and then only characters that are no white space and open no special token."""
+        odd = ~((data > 0x20) & (data < 0x7F) & (data != ord("<")))
+        letters = np.flatnonzero(_ends_letter(data))
+        odd[letters] = odd[letters - 1] = False
+        odd = np.concatenate([[0], np.cumsum(odd)])
+        return (data[start] == 0x20) & (end - start > 1) & (odd[end] == odd[start + 1])
+
+    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of runs. Plain ones, which come first, are encoded many at a time and told apart by
+        the pieces that open with a space."""
+        plain = int(self._plain(data, start, end).sum())
+        sizes, ids = [], []
+        for lo in range(0, plain, 2000):
+            hi = min(lo + 2000, plain)
+            text = data[ragged(start[lo:hi], end[lo:hi] - start[lo:hi])].tobytes().decode()
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+            heads = np.flatnonzero(self.opens[found])
+            if len(heads) != hi - lo:
+                raise ValueError("this tokenizer does not begin a piece at each single space")
+            sizes.append(np.diff(heads, append=len(found)))
+            ids.append(found)
+        rest = [data[a:b].tobytes().decode() for a, b in zip(start[plain:], end[plain:], strict=True)]
+        for found in self.tokenizer.encode_batch(rest, add_special_tokens=False):
+            sizes.append([len(found.ids)])
+            ids.append(np.array(found.ids, np.int32))
+        return np.concatenate(sizes).astype(np.int64), np.concatenate(ids)
 
 
 @cache
@@ -99,20 +120,34 @@ def _runs(path: str) -> _Runs:
 def encode_block(runs: _Runs, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows of a block, and how many each row has."""
     rows = len(offsets) - 1
-    plain = (data > 0x20) & (data < 0x7F)
-    letter = np.zeros(len(data), bool)  # last bytes of two-byte letters; none of them is white space
-    letter[1:] = (data[1:] >= 0x80) & (data[1:] < 0xC0) & _opens_letter(data)[:-1]
-    cut = np.zeros(len(data), bool)
+    solid = (data > 0x20) & (data < 0x7F)
+    ends, opens = solid | _ends_letter(data), solid | _opens_letter(data)
+    capital = data & 0xDF
+    word = (capital >= 0x41) & (capital <= 0x5A) & solid  # A-Z and a-z
+    cut = np.zeros(len(data) + 1, bool)
     if len(data) > 2:
-        cut[1:-1] = (data[1:-1] == 0x20) & (plain | letter)[:-2] & (plain | _opens_letter(data))[2:]
+        between = ends[:-2] & opens[2:]  # a single white space character in the middle is no other's neighbour
+        cut[1:-2] |= (data[1:-1] == 0x20) & between
+        line = (data[1:-1] == 0x0A) & between
+        cut[1:-2] |= line
+        cut[2:-1] |= line
+        mark = solid & ~word & ~((data >= 0x30) & (data <= 0x39))
+        cut[1:-1] |= mark[1:] & word[:-1]
+    cut = cut[:-1]
+    raw = data.tobytes()
+    for token in runs.special:  # a text that holds one is a single run
+        at = raw.find(token)
+        while at >= 0:
+            row = int(np.searchsorted(offsets, at, "right")) - 1
+            cut[offsets[row] : offsets[row + 1]] = False
+            at = raw.find(token, int(offsets[row + 1]))
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(data))
     row = np.searchsorted(offsets, start, "right") - 1
     hashes = hash_spans(hash_sums(data, fold_case=False), start, end)
     distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    place = runs.look_up(distinct, lambda i: raw[start[first[i]] : end[first[i]]])[inverse]
+    place = runs.look_up(distinct, data, start[first], end[first])[inverse]
     sizes = runs.sizes[place]
     return runs.ids[ragged(runs.starts[place], sizes)], np.bincount(row, sizes, rows).astype(np.int64)
 
@@ -122,6 +157,13 @@ def _opens_letter(data: np.ndarray) -> np.ndarray:
     return (data >= 0xC3) & (data <= 0xD3)
 
 
+def _ends_letter(data: np.ndarray) -> np.ndarray:
+    """Last bytes of such letters; none of these is white space."""
+    out = np.zeros(len(data), bool)
+    out[1:] = (data[1:] >= 0x80) & (data[1:] < 0xC0) & _opens_letter(data)[:-1]
+    return out
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
     """Write ``path``/tokens.orc (part, place, doc_id, n_tokens, ids) and ``path``/index.orc (doc_id, part,
     place, start). ``tokenizer`` is a file that all executors have at this place.
