@@ -1,15 +1,57 @@
-"""The corpus pipeline: documents in, cleaned and encoded documents out."""
+"""The corpus pipeline: documents in; toxic, near-duplicate and benchmark-holding ones out; the rest encoded.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows the one before it kept. All but the last return
+the columns of ``documents``; the last adds ``pieces`` (sampled SentencePiece ids) and ``n_pieces``, and its
+``text`` is what the pieces decode to.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crossfade.llm import decontaminate, ngram_join, pieces, toxicity
+from crossfade.llm.queries import tokenizer_file
+from crossfade.llm.tables import materialize, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine scores below 0.5."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), decontaminate.row_key())
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles with a Jaccard similarity of 0.8 or more, the smallest id."""
+    return ngram_join.keep_one(docs, width=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without ten consecutive words of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of each text, and the text they decode to."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    coded = pieces.encode(docs, model)
+    back = pieces.decode(coded.drop("text"), model)
+    return back.withColumn("n_pieces", F.size("pieces").cast("long"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pieces", encode_pieces),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+# The first stage's learnt scores and the last one's draws have no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``, each written to the shared folder before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

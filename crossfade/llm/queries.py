@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import context_tree, decontaminate, license_scan, ngram_join, token_files, toxicity
+from crossfade.llm import context_tree, decontaminate, license_scan, ngram_join, pieces, token_files, toxicity
 from crossfade.llm.tables import table
 
 
@@ -34,6 +34,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Query]:
         "op2_token_files": op2_token_files,
         "op3_contamination": op3_contamination,
         "op7_license_scan": op7_license_scan,
+        "op8_pieces": op8_pieces,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_context_tree": op10_context_tree,
     }
