@@ -8,9 +8,11 @@ percent * |A | B|``. The steps, each a Spark job over all rows:
    of shared passages out of the way.
 2. Each document becomes its set's size, digest and *probe*: the first n - ceil(t n) + 1 tokens of that
    order. Two sets that link share a token of their probes. Equal sets become one class.
-3. Groups of similar classes: classes with one of their three first tokens and their size band in common
-   are compared with one leader, in whole; the components of the links found are the groups. The number
-   of comparisons is linear, however large a group of copies is.
+3. Groups of similar classes: the hash range is cut into eight parts, and a class's smallest tokens of two
+   parts make a key (one-permutation min-hash), four keys in all. Classes with a key and size band in
+   common are compared with one leader, in whole: the class with the commonest tokens, which is the one
+   least changed of a family of copies. The components of the links found are the groups. The number of
+   comparisons is linear, however large a group of copies is.
 4. The token-group matrix holds one row per probe token and group, with the group's range of sizes. Each
    class counts the probe tokens it shares with each other group. The count bounds the overlap with every
    member, and only groups whose bound reaches the threshold are opened.
@@ -31,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossfade.llm.tables import components, materialize, small_side
-from crossfade.llm.words import shingle_sets
+from crossfade.llm.words import mix, shingle_sets
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the corpus
 _SLICE = 1 << 14
-GROUP_TOKENS = 3
+_PARTS = np.arange(8, dtype=np.uint64) << np.uint64(61)
 
 
 def token_sketch(docs: DataFrame, width: int) -> np.ndarray:
@@ -88,31 +90,47 @@ def _probe(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
     return tokens[np.argsort(common, kind="stable")[:keep]]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    values = np.concatenate([np.zeros(0, np.uint64), *arrays]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _group_keys(tokens: np.ndarray) -> np.ndarray:
+    if not len(tokens):
+        return tokens
+    least = tokens[np.searchsorted(tokens, _PARTS) % len(tokens)]
+    return mix(least[0::2] ^ mix(least[1::2]))
+
+
 def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """One row per document: doc_id, n (set size), node (a digest of the set as a number, null
-    if empty), probe (array<long>). Written once; the input is read twice."""
+    if empty), probe and keys (arrays of tokens and of group keys), common (mean log
+    commonness of the tokens). Written once; the input is read twice."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(token_sketch(docs, width))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, probes = [], [], []
+            sizes, digests, probes, keys, common = [], [], [], [], []
             for tokens in shingle_sets(batch.column(1), width):
                 sizes.append(len(tokens))
                 digests.append(_digest(tokens))
-                probes.append(_probe(tokens, sketch.value, percent).view(np.int64))
-            ends = np.cumsum([0, *map(len, probes)])
-            values = np.concatenate(probes) if probes else np.zeros(0, np.int64)
+                probes.append(_probe(tokens, sketch.value, percent))
+                keys.append(_group_keys(tokens))
+                common.append(float(np.log1p(sketch.value[_bucket(tokens)]).mean()) if len(tokens) else 0.0)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column(0).cast(pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
                     "node": pa.array(map(_node, digests), pa.int64()),
-                    "probe": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
+                    "probe": _lists(probes),
+                    "keys": _lists(keys),
+                    "common": pa.array(common, pa.float64()),
                 }
             )
 
-    schema = "doc_id long, n long, node long, probe array<bigint>"
+    schema = "doc_id long, n long, node long, probe array<bigint>, keys array<bigint>, common double"
     return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(describe, schema))
 
 
@@ -158,21 +176,23 @@ def links(sets: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90) -
     classes = materialize(
         sets.where("n > 0 and doc_id is not null")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("probe").alias("probe"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("probe").alias("probe"), F.first("keys").alias("keys"), F.first("common").alias("common"))
     )
-    # groups: compare classes with the leader of their first tokens
+    # groups: compare classes with the leader of each of their keys
     band = F.floor(F.log("n") / -np.log(share)) if percent < 100 else F.col("n")
-    first = classes.select("node", "n", band.alias("band"), F.explode(F.slice("probe", 1, GROUP_TOKENS)).alias("token"))
-    leaders = first.groupBy("token", "band").agg(
-        F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("leader"), F.count("*").alias("members")
+    first = classes.select("node", "common", band.alias("band"), F.explode(F.array_distinct("keys")).alias("key"))
+    leaders = first.groupBy("key", "band").agg(
+        F.max(F.struct("common", "node")).alias("leader"), F.count("*").alias("members")
     )
-    leaders = leaders.where("members > 1").select("token", "band", F.col("leader.node").alias("leader"))
-    near = first.join(leaders, ["token", "band"]).where("node <> leader")
+    leaders = leaders.where("members > 1").select("key", "band", F.col("leader.node").alias("leader"))
+    near = first.join(leaders, ["key", "band"]).where("node <> leader")
     near = near.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     found = _verified(near, classes, docs, width, percent)
     grouped = components(found)
     classes = materialize(
-        classes.join(grouped, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
+        classes.join(grouped, "node", "left").select(
+            "node", "rep", "n", "probe", F.coalesce("component", "node").alias("grp")
+        )
     )
     # the matrix, and the shared tokens of each class with each other group
     tokens = classes.select("node", "n", "grp", F.explode("probe").alias("token"))
