@@ -38,7 +38,21 @@ select d.doc_id, len(d.w) n_words, coalesce(p.n_hit, 0) n_hit, coalesce(h.n_item
 from d left join places p using (doc_id) left join held h using (doc_id)
 """.format(words=_LETTER_WORDS)
 
+NEAR_VECTORS = """
+with recursive v as (select vec_id, label, cast(embedding as double[]) e from embeddings where label is not null and len(embedding) > 0),
+valid as (select vec_id, label, e from v where len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+  and list_sum(list_transform(e, lambda x: x * x)) > 0),
+links as (select a.vec_id a, b.vec_id b from valid a join valid b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+  where list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+reach as (select vec_id node, vec_id seen from embeddings union select l.b, r.seen from reach r join links l on l.a = r.node),
+comp as (select node, min(seen) c from reach group by 1),
+n as (select a, count(*) k from links group by 1)
+select m.vec_id, coalesce(n.k, 0) n_links, comp.c component_id, m.vec_id = comp.c kept
+from embeddings m join comp on comp.node = m.vec_id left join n on n.a = m.vec_id
+"""
+
 SQL = {
+    "op4_near_vectors": NEAR_VECTORS,
     "op3_contamination": CONTAMINATION,
     "op9_ngram_jaccard": JACCARD.format(words=_SPACE_WORDS, width=3, percent=90)
     + """select d.doc_id, len(d.s) as n_shingles, coalesce(comp.c, d.doc_id) as component_id

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import context_tree, decontaminate, license_scan, ngram_join, pieces, token_files, toxicity
+from crossfade.llm import context_tree, decontaminate, license_scan, ngram_join, pieces, token_files, toxicity, vectors
 from crossfade.llm.tables import table
 
 
@@ -30,6 +30,10 @@ def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": op1_toxicity,
         "op2_token_files": op2_token_files,
         "op3_contamination": op3_contamination,
+        "op4_near_vectors": op4_near_vectors,
         "op7_license_scan": op7_license_scan,
         "op8_pieces": op8_pieces,
         "op9_ngram_jaccard": op9_ngram_jaccard,
