@@ -4,7 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crossfade.llm import context_tree, decontaminate, license_scan, ngram_join, pieces, token_files, toxicity, vectors
+from crossfade.llm import (
+    context_tree,
+    decontaminate,
+    html_text,
+    license_scan,
+    ngram_join,
+    pieces,
+    token_files,
+    toxicity,
+    url_filter,
+    vectors,
+)
 from crossfade.llm.tables import table
 
 
@@ -34,6 +45,14 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -56,6 +75,8 @@ def queries() -> dict[str, Query]:
         "op2_token_files": op2_token_files,
         "op3_contamination": op3_contamination,
         "op4_near_vectors": op4_near_vectors,
+        "op5_main_text": op5_main_text,
+        "op6_url_filter": op6_url_filter,
         "op7_license_scan": op7_license_scan,
         "op8_pieces": op8_pieces,
         "op9_ngram_jaccard": op9_ngram_jaccard,
