@@ -196,12 +196,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     rows = rows.mapInArrow(encode, "part int, place long, doc_id long, n_tokens long, ids array<int>")
     rows.write.options(**ORC_OPTIONS).orc(f"{path}/tokens.orc")
     sizes = docs.sparkSession.read.orc(f"{path}/tokens.orc").select("part", "place", "doc_id", "n_tokens")
-    with_starts(sizes).select("doc_id", "part", "place", "start").write.options(**ORC_OPTIONS).orc(f"{path}/index.orc")
+    with_starts(sizes, sizes).select("doc_id", "part", "place", "start").write.options(**ORC_OPTIONS).orc(f"{path}/index.orc")
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
-    """Add ``start``, from (part, place, n_tokens): a running sum within each part, and one over the parts."""
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+def with_starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add ``start``, from (part, place, n_tokens): a running sum within each part, and one over the parts of
+    ``sizes``, which has at least part and n_tokens of the same rows and should be cheap to read."""
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task of the write
     parts = parts.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
@@ -225,9 +226,9 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
             columns = [batch.column("part"), batch.column("place"), batch.column("doc_id"), pa.array(np.diff(ends).astype(np.int64))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(crc, pa.int64())], ["part", "place", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = spark.read.orc(f"{path}/tokens.orc").select("part", "place", "doc_id", "ids")
-    rows = rows.mapInArrow(digest, "part int, place long, doc_id long, n_tokens long, ids_crc32 long")
-    return with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    files = spark.read.orc(f"{path}/tokens.orc")
+    rows = files.select("part", "place", "doc_id", "ids").mapInArrow(digest, "part int, place long, doc_id long, n_tokens long, ids_crc32 long")
+    return with_starts(rows, files.select("part", "n_tokens")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def document_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
