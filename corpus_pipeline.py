@@ -12,30 +12,32 @@ from pyspark.sql import functions as F
 
 from crossfade.llm import decontaminate, ngram_join, pieces, toxicity
 from crossfade.llm.queries import tokenizer_file
-from crossfade.llm.tables import materialize, table
+from crossfade.llm.tables import materialize, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores below 0.5."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), decontaminate.row_key())
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles with a Jaccard similarity of 0.8 or more, the smallest id."""
+    small_batches(spark)
     return ngram_join.keep_one(docs, width=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without ten consecutive words of a benchmark item."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled piece ids of each text, and the text they decode to."""
     model = tokenizer_file("piece_bpe_32k.model")
-    coded = pieces.encode(docs, model)
-    back = pieces.decode(coded.drop("text"), model)
-    return back.withColumn("n_pieces", F.size("pieces").cast("long"))
+    small_batches(spark)
+    return pieces.encode(docs, model, decoded="text").withColumn("n_pieces", F.size("pieces").cast("long"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -31,7 +31,7 @@ from crossfade.llm.words import hash_spans, hash_sums, mix, ragged, text_blocks
 SEED = 17
 THETA = 2.0
 BYTE_WEIGHT = -30.0
-EDGES_KEPT = 6_000_000  # lattice edges that a worker remembers before it starts anew
+EDGES_KEPT = 2_500_000  # lattice edges that a worker remembers before it starts anew
 
 _TOKEN, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
@@ -84,7 +84,7 @@ class Pieces:
         self.first = np.zeros(0, np.int64)
         # edges by end node, likeliest first: chance of an edge and those before, start node, piece
         self.nodes = self.edges = 0
-        self.draws, self.source, self.piece = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.draws, self.source, self.piece = np.zeros(0, np.float32), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.into = np.zeros(0, np.int32)  # of each node, its first edge
 
     def parts(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -229,9 +229,9 @@ class Pieces:
 
 
 def _append(room: np.ndarray, used: int, values: np.ndarray) -> np.ndarray:
-    """``room`` with the values behind its ``used`` first ones, grown to twice the need if they don't fit."""
+    """``room`` with the values behind its ``used`` first ones, grown by half if they don't fit."""
     if used + len(values) > len(room):
-        room = np.concatenate([room[:used], np.empty(max(used, 2 * len(values)), room.dtype)])
+        room = np.concatenate([room[:used], np.empty(max(used // 2, len(values)), room.dtype)])
     room[used : used + len(values)] = values
     return room
 
@@ -245,9 +245,12 @@ def _lists(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, model: str, into: str = "pieces") -> DataFrame:
+def encode(docs: DataFrame, model: str, into: str = "pieces", decoded: str | None = None) -> DataFrame:
     """The rows with a column of sampled piece ids; null and empty texts have none. ``model`` is a file that
-    all executors have at this place. Rows are seeded by doc_id; rows with one id and text get one answer."""
+    all executors have at this place. Rows are seeded by doc_id; rows with one id and text get one answer.
+
+    With ``decoded``, that column (``text``, if you like) holds what the ids decode to, without a second pass.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
@@ -255,15 +258,24 @@ def encode(docs: DataFrame, model: str, into: str = "pieces") -> DataFrame:
             for first, data, offsets in text_blocks(batch.column(1)):
                 rows = batch.slice(first, len(offsets) - 1)
                 ids, sizes = pieces.encode(data, offsets, rows.column(0).to_numpy())
-                yield pa.RecordBatch.from_arrays([*rows.columns[2:], _lists(ids, sizes)], [*names, into])
+                out = [*rows.columns[2:], _lists(ids, sizes)]
+                if decoded:
+                    out.append(_strings(*pieces.decode(ids, sizes)))
+                yield pa.RecordBatch.from_arrays(out, schema.names)
 
-    names = [c for c in docs.columns if c != into]
+    names = [c for c in docs.columns if c not in (into, decoded)]
     kept = docs.select(F.xxhash64(F.col("doc_id").cast("long")), F.col("text").cast("string"), *names)
     kept = kept.toDF(*(f"c{i}" for i in range(len(names) + 2)))  # given names may clash with any of ours
-    schema = docs.select(*names).schema.add(into, T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*docs.select(*names).schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
     return kept.mapInArrow(run, schema)
 
 
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes()))
+
+
 def decode(rows: DataFrame, model: str, ids: str = "pieces", into: str = "text") -> DataFrame:
     """The rows with the text that their piece ids spell; null ids give an empty text."""
 
@@ -272,8 +284,7 @@ def decode(rows: DataFrame, model: str, ids: str = "pieces", into: str = "text")
         for batch in batches:
             lists = batch.column(0)
             data, offsets = pieces.decode(lists.flatten().to_numpy(), np.array(lists.value_lengths().fill_null(0)))
-            texts = pa.StringArray.from_buffers(batch.num_rows, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], texts], [*names, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], _strings(data, offsets)], [*names, into])
 
     names = [c for c in rows.columns if c != into]
     kept = rows.select(F.col(ids), *names).toDF(*(f"c{i}" for i in range(len(names) + 1)))

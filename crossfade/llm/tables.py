@@ -1,6 +1,6 @@
 """Small helpers shared by the operators: written intermediate tables, checked broadcasts, components."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfade.sources.tables import materialize
@@ -10,7 +10,14 @@ from crossfade.sources.tables import materialize
 BROADCAST_ROWS = 500_000
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand workers at most this many rows at once: texts can be long, and memory follows the batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder, read in small batches wherever Python works on it."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
