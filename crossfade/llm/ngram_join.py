@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,13 +105,14 @@ def _group_keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: doc_id, n (set size), node (a digest of the set as a number, null
-    if empty), probe and keys (arrays of tokens and of group keys), common (mean log
+    """One row per document: row (a number of its own), doc_id, n (set size), node (a digest of the set as a
+    number, null if empty), probe and keys (arrays of tokens and of group keys), common (mean log
     commonness of the tokens). Written once; the input is read twice."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(token_sketch(docs, width))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             sizes, digests, probes, keys, common = [], [], [], [], []
             for tokens in shingle_sets(batch.column(1), width):
@@ -121,7 +123,8 @@ def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFra
                 common.append(float(np.log1p(sketch.value[_bucket(tokens)]).mean()) if len(tokens) else 0.0)
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column(0).cast(pa.int64()),
+                    "row": np.arange(row, row + batch.num_rows),
+                    "doc_id": batch.column(0),
                     "n": pa.array(sizes, pa.int64()),
                     "node": pa.array(map(_node, digests), pa.int64()),
                     "probe": _lists(probes),
@@ -129,29 +132,30 @@ def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFra
                     "common": pa.array(common, pa.float64()),
                 }
             )
+            row += batch.num_rows
 
-    schema = "doc_id long, n long, node long, probe array<bigint>, keys array<bigint>, common double"
+    schema = "row long, doc_id long, n long, node long, probe array<bigint>, keys array<bigint>, common double"
     return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(describe, schema))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs of classes (a, b) whose whole sets link."""
-
+    """Those of the written pairs of classes (a, b) whose whole sets link."""
 
     def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """An id that stands for several texts brings them all; those of another set go."""
         for batch in batches:
-            nodes = [_node(_digest(tokens)) for tokens in shingle_sets(batch.column(1), width)]
-            yield batch.filter(pa.array(np.array(nodes) == batch.column(0).to_numpy(), pa.bool_()))
-
-    pairs = materialize(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialize(wanted.join(classes.select("node", F.col("rep").alias("doc_id")), "node"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(small_side(wanted), "doc_id").select("node", "text").mapInArrow(of_class, "node long, text string")
+            nodes = np.array([_node(_digest(tokens)) or 0 for tokens in shingle_sets(batch.column(2), width)], np.int64)
+            yield batch.filter(pa.array(nodes == batch.column(1).to_numpy(), pa.bool_())).select([0, 2])
+
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    wanted = materialize(classes.select("row", "node", "doc_id").join(small_side(wanted), "row"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(wanted), "doc_id")
+    texts = texts.select("row", "node", "text").mapInArrow(of_class, "row long, text string")
     texts = materialize(texts)
-    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    if texts.count() > wanted.count():  # rows repeated with one id and text
+        texts = materialize(texts.dropDuplicates(["row"]))
+    both = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+    both = both.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,53 +171,58 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield pa.record_batch({"a": a, "b": b}).filter(pa.array(kept, pa.bool_()))
 
     both = both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
-    return materialize(both.distinct())
+    return materialize(both)
+
 
+def set_classes(sets: DataFrame) -> DataFrame:
+    """One row of ``sets`` for each distinct set, that of the smallest doc_id; its row number names the class."""
+    usable = sets.where("n > 0 and doc_id is not null")
+    copies = usable.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("copies"))
+    copies = materialize(copies.where("copies > 1").select("node", F.col("first.row").alias("kept")))
+    return usable.join(small_side(copies), "node", "left").where("kept is null or kept = row").drop("kept")
 
-def links(sets: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+
+def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """Links (a, b) between classes, enough of them to connect all that is connected."""
     share = percent / 100
-    classes = materialize(
-        sets.where("n > 0 and doc_id is not null")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("probe").alias("probe"), F.first("keys").alias("keys"), F.first("common").alias("common"))
-    )
     # groups: compare classes with the leader of each of their keys
     band = F.floor(F.log("n") / -np.log(share)) if percent < 100 else F.col("n")
-    first = classes.select("node", "common", band.alias("band"), F.explode(F.array_distinct("keys")).alias("key"))
-    leaders = first.groupBy("key", "band").agg(
-        F.max(F.struct("common", "node")).alias("leader"), F.count("*").alias("members")
-    )
-    leaders = leaders.where("members > 1").select("key", "band", F.col("leader.node").alias("leader"))
-    near = first.join(leaders, ["key", "band"]).where("node <> leader")
-    near = near.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    first = classes.select("row", "common", band.alias("band"), F.explode(F.array_distinct("keys")).alias("key"))
+    leaders = first.groupBy("key", "band").agg(F.max(F.struct("common", "row")).alias("leader"), F.count("*").alias("members"))
+    leaders = leaders.where("members > 1").select("key", "band", F.col("leader.row").alias("leader"))
+    near = first.join(leaders, ["key", "band"]).where("row <> leader")
+    near = materialize(near.select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct())
     found = _verified(near, classes, docs, width, percent)
-    grouped = components(found)
-    classes = materialize(
-        classes.join(grouped, "node", "left").select(
-            "node", "rep", "n", "probe", F.coalesce("component", "node").alias("grp")
-        )
-    )
-    # the matrix, and the shared tokens of each class with each other group
-    tokens = classes.select("node", "n", "grp", F.explode("probe").alias("token"))
+    grouped = materialize(components(found).select(F.col("node").alias("row"), F.col("component").alias("grp")))
+    grouped = classes.join(small_side(grouped), "row", "left").withColumn("grp", F.coalesce("grp", "row"))
+    # the matrix, and the shared tokens of each class with each other group; 48 bits of a token are enough
+    # here, since tokens taken for equal can only open a group too many
+    tokens = grouped.select("row", "n", "grp", F.explode("probe").alias("token"))
+    tokens = tokens.withColumn("token", F.col("token").bitwiseAND((1 << 48) - 1))
     matrix = tokens.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     matrix = matrix.select("token", F.col("grp").alias("other"), "low", "high")
     shared = tokens.join(matrix, "token").where(
         (F.col("grp") < F.col("other")) & (100 * F.col("n") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("n"))
     )
-    shared = shared.groupBy("node", "n", "other").agg(F.count("*").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
+    shared = shared.groupBy("row", "n", "other").agg(F.count("*").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
     low = F.greatest(F.col("low").cast("double"), F.ceil(share * F.col("n")).cast("double"))
     high = F.least(F.col("high").cast("double"), F.floor(F.col("n") / share).cast("double"))
     least = F.least(_least_shared(F.col("n"), low, share), _least_shared(F.col("n"), high, share))
     # one token less than the formula says: rounding must not lose a link
-    opened = shared.where(F.col("shared") >= F.floor(least) - 1).select("node", "other")
-    members = classes.select(F.col("node").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"), F.col("probe").alias("probe_b"))
-    pairs = opened.join(classes.select("node", "n", "probe"), "node").join(members, "other")
-    pairs = pairs.where((100 * F.col("n") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n")))
-    common = F.size(F.array_intersect("probe", "probe_b"))
-    least = _least_shared(F.col("n"), F.col("n_b"), share)
-    pairs = pairs.where((common >= 1) & (common >= F.floor(least) - 1)).select(F.col("node").alias("a"), "b").distinct()
-    return found.unionByName(_verified(pairs, classes, docs, width, percent))
+    opened = shared.where(F.col("shared") >= F.floor(least) - 1).select(F.col("row").alias("a"), F.col("n").alias("n_a"), "other")
+    members = grouped.select(F.col("row").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"))
+    pairs = materialize(
+        opened.join(members, "other")
+        .where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
+        .drop("other")
+    )
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    probes = materialize(classes.select("row", "probe").join(small_side(wanted), "row"))
+    pairs = pairs.join(probes.select(F.col("row").alias("a"), F.col("probe").alias("probe_a")), "a")
+    pairs = pairs.join(probes.select(F.col("row").alias("b"), F.col("probe").alias("probe_b")), "b")
+    common = F.size(F.array_intersect("probe_a", "probe_b"))
+    pairs = pairs.where((common >= 1) & (common >= F.floor(_least_shared(F.col("n_a"), F.col("n_b"), share)) - 1))
+    return found.unionByName(_verified(materialize(pairs.select("a", "b")), classes, docs, width, percent))
 
 
 def _least_shared(n, m, share: float):
@@ -230,13 +239,14 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     id each give a row. Other columns are ignored.
     """
     sets = document_sets(docs, width, percent)
-    found = components(links(sets, docs, width, percent))
-    node_of = sets.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    node_of = node_of.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = node_of.groupBy("component").agg(F.min("rep").alias("component_id"))
-    node_of = materialize(node_of.join(smallest, "component").select("node", "component_id"))
-    linked = sets.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node")))
-    return linked.join(node_of, "node", "left").select(
+    classes = set_classes(sets)
+    found = components(links(classes, docs, width, percent))
+    known = classes.select("row", "node", "doc_id").join(found.withColumnRenamed("node", "row"), "row", "left")
+    known = known.withColumn("component", F.coalesce("component", "row"))
+    smallest = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = materialize(known.join(smallest, "component").select("node", "component_id"))
+    linked = sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+    return linked.join(known, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 

@@ -262,6 +262,7 @@ def encode(docs: DataFrame, model: str, into: str = "pieces", decoded: str | Non
                 if decoded:
                     out.append(_strings(*pieces.decode(ids, sizes)))
                 yield pa.RecordBatch.from_arrays(out, schema.names)
+        pieces.clear()  # a worker that goes on to other work should not hold lattices
 
     names = [c for c in docs.columns if c not in (into, decoded)]
     kept = docs.select(F.xxhash64(F.col("doc_id").cast("long")), F.col("text").cast("string"), *names)
@@ -310,6 +311,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
                 columns = [rows.column(1), pa.array(sizes), pa.array(crc, pa.int64()), pa.array(np.diff(ends)), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "ids_crc32", "n_bytes", "lossless"])
+        pieces.clear()  # a worker that goes on to other work should not hold lattices
 
     rows = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("key"), F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, n_bytes long, lossless boolean")
