@@ -1,7 +1,7 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index holds every word of every document: a row per segment (about a megabyte of consecutive
-texts) with its sorted terms, their counts and their positions. It does not depend on the benchmark and
+The index holds every word of every document: a row per segment (a quarter of a megabyte of
+consecutive texts) with its sorted terms, their counts and their positions. It does not depend on the benchmark and
 can be kept. A phrase is looked up from its rarest term, by the counts of the whole index: the rarest
 term's list gives candidate starts (position less the term's offset in the phrase), and each further
 list, in the order of rarity, keeps the starts it confirms at its own offset. Segments that lack a term
@@ -24,6 +24,7 @@ from crossfade.llm.tables import materialize, small_side
 from crossfade.llm.words import WORD, find_words, hash_text, ragged, text_blocks, word_hashes
 
 PHRASES_AT_ONCE = 50_000  # phrases looked up by one pass over the index
+SEGMENT_BYTES = 1 << 18  # text of a segment, so that an index row stays well below a megabyte
 
 _INDEX = """segment long, keys array<bigint>, doc_ids array<bigint>, ends array<bigint>,
 terms binary, counts binary, positions binary"""
@@ -41,7 +42,7 @@ def build_index(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1).compress
         segment = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(2)):
+            for first, data, offsets in text_blocks(batch.column(2), SEGMENT_BYTES):
                 rows = len(offsets) - 1
                 words = find_words(data, offsets, WORD)
                 hashes = word_hashes(data, words)

@@ -71,7 +71,7 @@ class Words(NamedTuple):
     row: np.ndarray
 
 
-def text_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets of the rows in these bytes) of consecutive rows; null is empty."""
     column = pc.fill_null(column, "")
     if isinstance(column, pa.ChunkedArray):
@@ -84,7 +84,7 @@ def text_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(column))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
