@@ -147,7 +147,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             nodes = np.array([_node(_digest(tokens)) or 0 for tokens in shingle_sets(batch.column(2), width)], np.int64)
             yield batch.filter(pa.array(nodes == batch.column(1).to_numpy(), pa.bool_())).select([0, 2])
 
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    wanted = materialize(wanted)
     wanted = materialize(classes.select("row", "node", "doc_id").join(small_side(wanted), "row"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(wanted), "doc_id")
     texts = texts.select("row", "node", "text").mapInArrow(of_class, "row long, text string")
@@ -209,19 +210,18 @@ def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90
     high = F.least(F.col("high").cast("double"), F.floor(F.col("n") / share).cast("double"))
     least = F.least(_least_shared(F.col("n"), low, share), _least_shared(F.col("n"), high, share))
     # one token less than the formula says: rounding must not lose a link
-    opened = shared.where(F.col("shared") >= F.floor(least) - 1).select(F.col("row").alias("a"), F.col("n").alias("n_a"), "other")
-    members = grouped.select(F.col("row").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"))
-    pairs = materialize(
-        opened.join(members, "other")
-        .where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
-        .drop("other")
-    )
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
-    probes = materialize(classes.select("row", "probe").join(small_side(wanted), "row"))
-    pairs = pairs.join(probes.select(F.col("row").alias("a"), F.col("probe").alias("probe_a")), "a")
-    pairs = pairs.join(probes.select(F.col("row").alias("b"), F.col("probe").alias("probe_b")), "b")
+    opened = materialize(shared.where(F.col("shared") >= F.floor(least) - 1).select(F.col("row").alias("a"), "other"))
+    groups = materialize(opened.select(F.col("other").alias("grp")).distinct())
+    members = grouped.join(small_side(groups), "grp", "left_semi")
+    members = members.select(F.col("row").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"), F.col("probe").alias("probe_b"))
+    asking = materialize(opened.select(F.col("a").alias("row")).distinct())
+    asking = classes.join(small_side(asking), "row", "left_semi")
+    asking = asking.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("probe").alias("probe_a")).join(opened, "a")
     common = F.size(F.array_intersect("probe_a", "probe_b"))
-    pairs = pairs.where((common >= 1) & (common >= F.floor(_least_shared(F.col("n_a"), F.col("n_b"), share)) - 1))
+    pairs = asking.join(members, "other").where(
+        (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+        & (common >= 1) & (common >= F.floor(_least_shared(F.col("n_a"), F.col("n_b"), share)) - 1)
+    )
     return found.unionByName(_verified(materialize(pairs.select("a", "b")), classes, docs, width, percent))
 
 
