@@ -209,8 +209,7 @@ def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90
     low = F.greatest(F.col("low").cast("double"), F.ceil(share * F.col("n")).cast("double"))
     high = F.least(F.col("high").cast("double"), F.floor(F.col("n") / share).cast("double"))
     least = F.least(_least_shared(F.col("n"), low, share), _least_shared(F.col("n"), high, share))
-    # one token less than the formula says: rounding must not lose a link
-    opened = materialize(shared.where(F.col("shared") >= F.floor(least) - 1).select(F.col("row").alias("a"), "other"))
+    opened = materialize(shared.where(F.col("shared") >= least - 1e-6).select(F.col("row").alias("a"), "other"))
     groups = materialize(opened.select(F.col("other").alias("grp")).distinct())
     members = grouped.join(small_side(groups), "grp", "left_semi")
     members = members.select(F.col("row").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"), F.col("probe").alias("probe_b"))
@@ -220,14 +219,16 @@ def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90
     common = F.size(F.array_intersect("probe_a", "probe_b"))
     pairs = asking.join(members, "other").where(
         (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-        & (common >= 1) & (common >= F.floor(_least_shared(F.col("n_a"), F.col("n_b"), share)) - 1)
+        & (common >= 1) & (common >= _least_shared(F.col("n_a"), F.col("n_b"), share) - 1e-6)
     )
     return found.unionByName(_verified(materialize(pairs.select("a", "b")), classes, docs, width, percent))
 
 
 def _least_shared(n, m, share: float):
     """Sets of sizes n and m that link share at least this many probe tokens: the overlap they need, less
-    what can lie beyond the longer rest."""
+    what can lie beyond the longer probe. In whole numbers, with c(x) for x rounded up: beyond the probe of n there are
+    c(share n) - 1 tokens, so at least c(share / (1 + share) (n + m)) - c(share max(n, m)) + 1 are shared, and that is
+    no less than the value given here. Callers leave 1e-6 for rounding."""
     return share / (1 + share) * (n + m) - share * F.greatest(n, m)
 
 
