@@ -94,5 +94,5 @@ def recommend_als(
         F.col("query_id").alias("user_id"),
         F.col("item_id").alias("track_id"),
         F.col("score").cast("float").alias("score"),
-        F.col("rank").cast("byte" if k < 128 else "int").alias("rank"),
+        F.col("rank").cast("int").alias("rank"),
     )

@@ -239,25 +239,23 @@ def run_ranking(
     seed: int = 42,
     only_positive_users: bool = True,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Train the ranker and return it with the top k per user.
+    """Train the ranker and return it with the top k for every user of ``personal``.
 
-    With the usual test events as labels the ranker sees the events it may later be judged on; pass
+    ``sample_users`` (in users) and ``only_positive_users`` bound the rows the ranker learns from; they
+    do not decide who gets a list. With the usual test events as labels the ranker sees the events it may later be judged on; pass
     other label events to keep them apart.
     """
+    features = materialize(track_features(catalog, train_events))
     candidates = materialize(
         labelled_candidates(
-            personal,
-            top,
-            track_features(catalog, train_events),
-            label_events,
-            sample_users,
-            seed,
-            only_positive_users,
+            personal, top, features, label_events, sample_users, seed, only_positive_users
         )
     )
     train = materialize(sample_negatives(candidates, multiplier, seed))
     model = fit_ranker(train, iterations=iterations, seed=seed)
-    return model, top_k_per_user(predict_and_rank(model, candidates), k)
+    users = personal.select("user_id").distinct()
+    merged = merge_candidates(als_candidates(personal), popular_candidates(users, top), users)
+    return model, top_k_per_user(predict_and_rank(model, add_track_features(merged, features)), k)
 
 
 def rank_with_model(

@@ -251,7 +251,6 @@ class Stages:
         }
         if model not in recs:
             raise ValueError(f"unknown model {model!r}")
-        asked = self.test_users if model == "popularity" else None
         return evaluate.evaluate(
             recs[model](),
             self.test_events,
@@ -259,7 +258,7 @@ class Stages:
             self.popularity,
             self.catalog,
             self.parameters.evaluation_k,
-            asked,
+            self.test_users,
         )
 
     def evaluate_all(self) -> DataFrame:

@@ -60,7 +60,7 @@ SCHEMAS = {
         track_group_id=_LONG,
     ),
     "personal_als": _struct(
-        user_id=_LONG, track_id=_LONG, score=T.FloatType(), rank=T.ByteType()
+        user_id=_LONG, track_id=_LONG, score=T.FloatType(), rank=T.IntegerType()
     ),
     "similar": _struct(
         track_id=_LONG, similar_track_id=_LONG, similarity_score=_DOUBLE, rank=T.IntegerType()

@@ -78,11 +78,18 @@ def write_table(df: DataFrame, root: str, table: str) -> DataFrame:
 
 
 def existing_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The table if it was written completely, else None."""
-    try:
-        return spark.read.parquet(f"{root}/{table}.parquet")
-    except AnalysisException:
+    """The table if it was written completely, which its ``_SUCCESS`` file shows, else None."""
+    path = f"{root}/{table}.parquet"
+    if not _exists(spark, f"{path}/_SUCCESS"):
         return None
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, in whatever store the path names."""
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -130,15 +137,20 @@ def write_in_buckets(
 
     ``build`` maps a slice of ``keys`` to result rows. Every run writes ``per_run`` buckets at a
     time and then notes them in a ledger table; buckets in the ledger are skipped. A run cut short
-    before its ledger entry is simply written again (overwritten, not appended).
+    before its ledger entry is simply written again (overwritten, not appended). The ledger holds the key
+    and the number of buckets; going on with others is an error, since rows would be lost or doubled.
     """
     spark = keys.sparkSession
     ledger_path = f"{path}/_ledger"
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    ledger = "bucket int, buckets int, key string"
     try:
-        finished = {row.bucket for row in spark.read.schema("bucket int").parquet(ledger_path).collect()}
+        entries = spark.read.schema(ledger).parquet(ledger_path).collect()
     except AnalysisException:
-        finished = set()
+        entries = []
+    if any((row.buckets, row.key) != (buckets, key) for row in entries):
+        raise ValueError(f"{path} was begun with another key or number of buckets")
+    finished = {row.bucket for row in entries}
     todo = [b for b in range(buckets) if b not in finished]
     for start in range(0, len(todo), per_run):
         part = todo[start : start + per_run]
@@ -146,7 +158,7 @@ def write_in_buckets(
         rows.withColumn("bucket", bucket).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("bucket").parquet(f"{path}/rows")
-        spark.createDataFrame([(b,) for b in part], "bucket int").coalesce(1).write.mode(
+        spark.createDataFrame([(b, buckets, key) for b in part], ledger).coalesce(1).write.mode(
             "append"
         ).parquet(ledger_path)
     return spark.read.parquet(f"{path}/rows").drop("bucket")

@@ -213,8 +213,7 @@ _TABLES = {
         coalesce(s.n / (SELECT max(n) FROM group_sizes)::DOUBLE, 0) AS track_group_size
         FROM cat c LEFT JOIN genre_listens g USING (genre_id) LEFT JOIN artist_listens a USING (artist_id)
         LEFT JOIN group_sizes s USING (track_group_id)""",
-    "personal_lists": """SELECT user_id, track_id, rank FROM personal WHERE user_id IN (
-        SELECT p.user_id FROM personal p JOIN test_ev t USING (user_id, track_id))""",
+    "personal_lists": "SELECT user_id, track_id, rank FROM personal",
     "feed": """SELECT user_id, event_id % (SELECT count(*) FROM embeddings) AS track_id, event_id, ts FROM events""",
     "recent": """SELECT user_id, track_id, position FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS position FROM feed)
@@ -237,7 +236,7 @@ _at = _order.index("features")
 _order[_at:_at] = ["genre_listens", "artist_listens", "group_sizes"]
 
 # built once per statement, since many later tables read them
-_MATERIALIZED = {"names_std", "items", "cat", "ev", "pop", "top100", "pop_recs", "merged", "similarities"}
+_MATERIALIZED = {"names_std", "items", "cat", "ev", "pop", "top100", "pop_recs", "merged", "similarities", "personal", "labelled", "test_ev"}
 
 
 def _with(select: str, extra: dict[str, str] | None = None) -> str:
@@ -393,6 +392,8 @@ _QUERIES = {
     "date_threshold_given": """SELECT 'given' AS threshold, count(*) AS train_rows FROM ev
         WHERE last_listen <= DATE '1998-12-16'
         UNION ALL SELECT 'fallback', count(*) FROM train_ev""",
+    "recommendations": """SELECT user_id, least(10, (SELECT count(*) FROM top100)) AS n_rows
+        FROM (SELECT DISTINCT user_id FROM train_ev)""",
     "train_events": "SELECT * FROM train_ev",
     "test_events": "SELECT * FROM test_ev",
     "split_stats": """SELECT CASE WHEN last_listen <= (SELECT day FROM split_day) THEN 'train' ELSE 'test' END AS side,

@@ -68,3 +68,21 @@ def test_profiles(spark):
     assert reports.shape(df).first().asDict() == {"n_rows": 4, "n_columns": 2}
     assert [(r.column_name, r.n_null) for r in reports.table_profile(df).collect()] == [("n", 0), ("s", 1)]
     assert reports.column_types(df).count() == 2
+
+
+def test_partial_table_is_not_resumed(spark, folder):
+    import os
+
+    tables.write_table(spark.range(100), folder, "ids")
+    assert tables.existing_table(spark, folder, "ids").count() == 100
+    os.remove(f"{folder}/ids.parquet/_SUCCESS")
+    assert tables.existing_table(spark, folder, "ids") is None
+    assert tables.existing_table(spark, folder, "none") is None
+
+
+def test_buckets_refuse_another_count(spark, folder):
+    keys = spark.range(50).withColumnRenamed("id", "k")
+    tables.write_in_buckets(keys, "k", lambda part: part, f"{folder}/t", buckets=6)
+    assert tables.write_in_buckets(keys, "k", lambda part: part, f"{folder}/t", buckets=6).count() == 50
+    with pytest.raises(ValueError, match="buckets"):
+        tables.write_in_buckets(keys, "k", lambda part: part, f"{folder}/t", buckets=4)
