@@ -255,7 +255,7 @@ def encode(docs: DataFrame, model: str, into: str = "pieces", decoded: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(1)):
+            for first, data, offsets in text_blocks(batch.column(1), 1 << 20):
                 rows = batch.slice(first, len(offsets) - 1)
                 ids, sizes = pieces.encode(data, offsets, rows.column(0).to_numpy())
                 out = [*rows.columns[2:], _lists(ids, sizes)]
@@ -299,7 +299,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(2)):
+            for first, data, offsets in text_blocks(batch.column(2), 1 << 20):
                 rows = batch.slice(first, len(offsets) - 1)
                 ids, sizes = pieces.encode(data, offsets, rows.column(0).to_numpy())
                 back, ends = pieces.decode(ids, sizes)

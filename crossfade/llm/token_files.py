@@ -175,7 +175,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, runs = TaskContext.get().partitionId(), 0, _runs(tokenizer)
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(1)):
+            for first, data, offsets in text_blocks(batch.column(1), 1 << 20):
                 ids, sizes = encode_block(runs, data, offsets)
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 ends = np.concatenate([[0], np.cumsum(sizes + 1)])

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20  # texts are handled in blocks of about this size; a longer text is one block
+BLOCK_BYTES = 1 << 19  # texts are handled in blocks of about this size; a longer text is one block
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
