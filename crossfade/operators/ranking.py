@@ -255,7 +255,8 @@ def run_ranking(
     model = fit_ranker(train, iterations=iterations, seed=seed)
     users = personal.select("user_id").distinct()
     merged = merge_candidates(als_candidates(personal), popular_candidates(users, top), users)
-    return model, top_k_per_user(predict_and_rank(model, add_track_features(merged, features)), k)
+    scored = add_labels(add_track_features(merged, features), label_events)  # target is shown, not used
+    return model, top_k_per_user(predict_and_rank(model, scored), k)
 
 
 def rank_with_model(
