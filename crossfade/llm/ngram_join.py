@@ -13,9 +13,12 @@ percent * |A | B|``. The steps, each a Spark job over all rows:
    common are compared with one leader, in whole: the class with the commonest tokens, which is the one
    least changed of a family of copies. The components of the links found are the groups. The number of
    comparisons is linear, however large a group of copies is.
-4. The token-group matrix holds one row per probe token and group, with the group's range of sizes. Each
-   class counts the probe tokens it shares with each other group. The count bounds the overlap with every
-   member, and only groups whose bound reaches the threshold are opened.
+4. The token-group matrix holds, for each token and group, the members that have it among the first
+   m - ceil(2t / (1 + t) m) + 1 of their m tokens: their range of sizes, and the most tokens that follow in
+   one of them. Of two sets that link, the larger one's probe holds one of these tokens of the smaller one,
+   and the first token they share leaves enough tokens behind it in both. So a class bounds its overlap with a group by
+   what follows each token they share, and only groups whose bound reaches the threshold are opened. Texts
+   that are alike but not linked begin with more tokens of their own than that, and do not meet.
 5. Members of opened groups are bounded in the same way one by one, and what is left is compared in whole.
 
 Classes in one group are connected already, so they need no further comparison, and any link between two
@@ -196,20 +199,23 @@ def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90
     found = _verified(near, classes, docs, width, percent)
     grouped = materialize(components(found).select(F.col("node").alias("row"), F.col("component").alias("grp")))
     grouped = classes.join(small_side(grouped), "row", "left").withColumn("grp", F.coalesce("grp", "row"))
-    # the matrix, and the shared tokens of each class with each other group; 48 bits of a token are enough
-    # here, since tokens taken for equal can only open a group too many
-    tokens = grouped.select("row", "n", "grp", F.explode("probe").alias("token"))
+    # the matrix, and each class's bound with each other group that holds a class of its size or smaller; 48
+    # bits of a token are enough here, since tokens taken for equal can only open a group too many
+    tokens = grouped.select("row", "n", "grp", F.posexplode("probe").alias("at", "token"))
     tokens = tokens.withColumn("token", F.col("token").bitwiseAND((1 << 48) - 1))
-    matrix = tokens.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    matrix = matrix.select("token", F.col("grp").alias("other"), "low", "high")
-    shared = tokens.join(matrix, "token").where(
-        (F.col("grp") < F.col("other")) & (100 * F.col("n") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("n"))
+    short = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent) - 1e-6) + 1
+    matrix = tokens.where(F.col("at") < short).groupBy("token", "grp").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("at")).alias("rest")
     )
-    shared = shared.groupBy("row", "n", "other").agg(F.count("*").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
-    low = F.greatest(F.col("low").cast("double"), F.ceil(share * F.col("n")).cast("double"))
-    high = F.least(F.col("high").cast("double"), F.floor(F.col("n") / share).cast("double"))
-    least = F.least(_least_shared(F.col("n"), low, share), _least_shared(F.col("n"), high, share))
-    opened = materialize(shared.where(F.col("shared") >= least - 1e-6).select(F.col("row").alias("a"), "other"))
+    matrix = matrix.select("token", F.col("grp").alias("other"), "low", "high", "rest")
+    needed = share / (1 + share) * (F.col("n") + F.greatest(F.col("low").cast("double"), share * F.col("n")))
+    bounded = tokens.join(matrix, "token").where(
+        (F.col("grp") != F.col("other"))
+        & ((F.col("low") < F.col("n")) | ((F.col("low") == F.col("n")) & (F.col("grp") < F.col("other"))))
+        & (100 * F.col("high") >= percent * F.col("n"))
+        & (F.least(F.col("n") - F.col("at"), "rest") >= needed - 1e-6)
+    )
+    opened = materialize(bounded.select(F.col("row").alias("a"), "other").distinct())
     groups = materialize(opened.select(F.col("other").alias("grp")).distinct())
     members = grouped.join(small_side(groups), "grp", "left_semi")
     members = members.select(F.col("row").alias("b"), F.col("grp").alias("other"), F.col("n").alias("n_b"), F.col("probe").alias("probe_b"))
@@ -218,7 +224,7 @@ def links(classes: DataFrame, docs: DataFrame, width: int = 3, percent: int = 90
     asking = asking.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("probe").alias("probe_a")).join(opened, "a")
     common = F.size(F.array_intersect("probe_a", "probe_b"))
     pairs = asking.join(members, "other").where(
-        (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+        (F.col("n_a") >= F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
         & (common >= 1) & (common >= _least_shared(F.col("n_a"), F.col("n_b"), share) - 1e-6)
     )
     return found.unionByName(_verified(materialize(pairs.select("a", "b")), classes, docs, width, percent))
