@@ -150,12 +150,15 @@ class Pieces:
             total = np.add.reduceat(share, heads)
             ln[target[lo:hi][heads]] = top + np.log(total)
             chance[lo:hi] = share / np.repeat(total, counts)
-        order = np.argsort(target - 0.5 * chance)  # target is whole, so its edges stay together
+        # likeliest first, then shortest: nothing here may depend on what else is in the block
+        order = np.lexsort((target - source, -chance, target))
         source, target, piece, chance = (x[order] for x in (source, target, piece, chance))
         heads = np.flatnonzero(np.diff(target, prepend=-1))
         counts = np.diff(heads, append=len(target))
-        running = np.cumsum(chance)
-        running -= np.repeat(running[heads] - chance[heads], counts)
+        running = chance.copy()
+        for rank in range(1, int(counts.max(initial=0))):
+            later = heads[counts > rank] + rank
+            running[later] += running[later - 1]
         running[heads + counts - 1] = 2  # the last takes what rounding leaves
         into = np.zeros(len(ln), np.int32)
         into[target[heads]] = self.edges + heads

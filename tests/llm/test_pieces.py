@@ -69,3 +69,16 @@ def test_draws_follow_the_weights(vocabulary):
     for way, weight in ways.items():
         p = weight / total
         assert abs(seen[way] / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-4
+
+
+def test_draws_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(8)
+    letters = list("aaabl ")  # many segmentations of equal weight
+    texts = ["".join(rng.choice(letters, rng.integers(1, 300))) for _ in range(400)]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    together, sizes = pieces.Pieces(MODEL).encode(np.concatenate(data), offsets, np.arange(len(texts)))
+    alone, split = pieces.Pieces(MODEL), np.split(together, np.cumsum(sizes)[:-1])
+    for i in rng.permutation(len(texts)):
+        ids, _ = alone.encode(data[i], np.array([0, len(data[i])]), np.array([i]))
+        assert np.array_equal(ids, split[i])
