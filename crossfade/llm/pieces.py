@@ -31,7 +31,8 @@ from crossfade.llm.words import hash_spans, hash_sums, mix, ragged, text_blocks
 SEED = 17
 THETA = 2.0
 BYTE_WEIGHT = -30.0
-EDGES_KEPT = 2_500_000  # lattice edges that a worker remembers before it starts anew
+BLOCK = 1 << 18  # bytes of texts that are encoded at once; the arrays made for them take some hundred times that
+EDGES_KEPT = 1_250_000  # lattice edges that a worker remembers before it starts anew
 
 _TOKEN, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
@@ -258,7 +259,7 @@ def encode(docs: DataFrame, model: str, into: str = "pieces", decoded: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(1), 1 << 20):
+            for first, data, offsets in text_blocks(batch.column(1), BLOCK):
                 rows = batch.slice(first, len(offsets) - 1)
                 ids, sizes = pieces.encode(data, offsets, rows.column(0).to_numpy())
                 out = [*rows.columns[2:], _lists(ids, sizes)]
@@ -302,7 +303,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            for first, data, offsets in text_blocks(batch.column(2), 1 << 20):
+            for first, data, offsets in text_blocks(batch.column(2), BLOCK):
                 rows = batch.slice(first, len(offsets) - 1)
                 ids, sizes = pieces.encode(data, offsets, rows.column(0).to_numpy())
                 back, ends = pieces.decode(ids, sizes)
