@@ -52,6 +52,17 @@ def unheard_items(items: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def unheard_count(items: DataFrame, events: DataFrame) -> DataFrame:
+    """One row: catalogued tracks, and how many of them have no event."""
+    heard = events.select("track_id").distinct().withColumn("_heard", F.lit(True))
+    return (
+        items.select("track_id")
+        .distinct()
+        .join(heard, "track_id", "left")
+        .agg(F.count("*").alias("n_tracks"), F.count_if(F.col("_heard").isNull()).alias("n_unheard"))
+    )
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """One row: nulls per column."""
     return df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in df.columns))

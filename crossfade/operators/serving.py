@@ -69,8 +69,9 @@ def online_recs(
     expected = ["track_id", "similar_track_id", "similarity_score"]
     require_columns(similar, expected, "similar")
     events = latest(history, num_events).select("user_id", "track_id").distinct()
+    asked = similar.join(events.select("track_id").distinct(), "track_id", "left_semi")
     best = top_k_per_key(
-        similar.select(*expected),
+        asked.select(*expected),
         ["track_id"],
         [F.desc("similarity_score"), F.col("similar_track_id")],
         k,

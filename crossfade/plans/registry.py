@@ -731,8 +731,14 @@ def top_genres(st, spark, sf_dir):
 
 @query
 def unheard_items(st, spark, sf_dir):
-    """Catalogued tracks without any event in the test period."""
-    return reports.unheard_items(st.items, st.test_events)
+    """Catalogued tracks without any event."""
+    return reports.unheard_items(st.items, st.events)
+
+
+@query
+def unheard_count(st, spark, sf_dir):
+    """How many there are: a row also where none is unheard."""
+    return reports.unheard_count(st.items, st.events)
 
 
 @query

@@ -74,6 +74,9 @@ def write_batches(
     A micro-batch that is run again after a failure overwrites its own folder, so each is kept
     exactly once. ``transform`` maps the rows of a micro-batch before the write. ``trigger`` is
     passed on (``processingTime="1 minute"``); by default all input there is gets processed.
+
+    Beside the rows, a folder lists the users of the micro-batch. It is written last, so a batch
+    counts only with both, and a user whose answer is now empty loses the one before.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -81,7 +84,9 @@ def write_batches(
         rows = rows.persist()
         try:
             out = transform(rows) if transform else rows
-            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            users = rows.select("user_id").distinct()
+            out.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+            users.write.mode("overwrite").parquet(f"{path}/users/batch_id={batch_id}")
         finally:
             rows.unpersist()
 
@@ -97,8 +102,9 @@ def write_batches(
 def latest_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The rows of each user from the last micro-batch that touched the user."""
     try:
-        rows = spark.read.schema(f"{schema}, batch_id long").parquet(path)
+        rows = spark.read.schema(f"{schema}, batch_id long").parquet(f"{path}/rows")
+        users = spark.read.schema("user_id long, batch_id long").parquet(f"{path}/users")
     except AnalysisException as error:
         raise FileNotFoundError(f"no micro-batch written under {path}") from error
-    last = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
+    last = users.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
     return rows.join(last, ["user_id", "batch_id"]).drop("batch_id")

@@ -484,7 +484,9 @@ _QUERIES = {
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
     "unheard_items": """SELECT track_id, track_clean, artist_clean, album_clean, genre_clean FROM (SELECT *,
         row_number() OVER (PARTITION BY track_id ORDER BY artist_id, album_id, genre_id) AS r FROM items
-        WHERE track_id NOT IN (SELECT track_id FROM test_ev)) WHERE r = 1""",
+        WHERE track_id NOT IN (SELECT track_id FROM ev)) WHERE r = 1""",
+    "unheard_count": """SELECT count(*) AS n_tracks, count(*) FILTER (track_id NOT IN (SELECT track_id FROM ev)) AS n_unheard
+        FROM (SELECT DISTINCT track_id FROM items)""",
     "null_counts": """SELECT count(*) - count(track_id) AS track_id, count(*) - count(album_id) AS album_id,
         count(*) - count(artist_id) AS artist_id, count(*) - count(genre_id) AS genre_id FROM exploded""",
     "value_counts": "SELECT track_seq, count(*) AS n FROM interactions GROUP BY 1",

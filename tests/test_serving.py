@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from crossfade.operators import serving as S
 from crossfade.sources.tables import write_table
@@ -124,7 +125,7 @@ def test_stream_equals_batch(spark, folder):
     expected = S.recent_events(spark.createDataFrame(sum(batches, []), EVENT_SCHEMA))
     cols = ("user_id", "position", "track_id")
     assert rows(found, *cols) == rows(expected, *cols)
-    assert spark.read.parquet(f"{folder}/out").select("batch_id").distinct().count() == 3
+    assert spark.read.parquet(f"{folder}/out/rows").select("batch_id").distinct().count() == 3
 
 
 def test_stream_restarts_with_its_state(spark, folder):
@@ -161,6 +162,15 @@ def test_stream_blend_equals_batch(spark, folder):
     assert rows(found, *cols) == rows(expected, *cols)
 
 
+def test_an_empty_answer_replaces_the_one_before(spark, folder):
+    batches = [[(1, 5, 0, START), (2, 5, 1, START)], [(1, 6, 2, START + timedelta(minutes=1))]]
+    for batch in batches:
+        events = _stream(spark, folder, [batch])
+        heard = lambda rows: rows.groupBy("user_id").agg(F.max("track_id").alias("track_id")).where("track_id = 5")
+        write_batches(stream_history(events), f"{folder}/out", f"{folder}/cp", heard).awaitTermination()
+    assert rows(latest_rows(spark, f"{folder}/out", "user_id long, track_id long"), "user_id", "track_id") == [(2, 5)]
+
+
 def test_no_output_is_a_clear_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         latest_rows(spark, f"{folder}/nothing", HISTORY_SCHEMA)
