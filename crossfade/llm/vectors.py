@@ -1,7 +1,10 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-A vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points (a sample of the vectors; the
-bound is the parameter), in order of nearness. The inverted lists go from every three of those pivots to the
+A vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, in order of nearness. These are
+vectors of a sample of ``SAMPLE``, no two of them with a cosine of ``APART`` or more, and random directions where the
+sample has too few. So a group of near copies, however large, holds one of them at most: with several, all nearly
+as near, chance would choose among them and copies would not meet. Vectors that lie so close together that few
+pivots tell them apart share most of their lists and are compared with one another in full. The inverted lists go from every three of those pivots to the
 vectors that have all three among their nearest: two vectors meet in a list if and only if they share at
 least three pivots, and a pair that meets in several is looked at in the first list only. Every pair that
 meets is verified by its cosine in double precision, so a link is never wrong; near vectors share fewer than
@@ -25,6 +28,8 @@ from pyspark.sql import types as T
 from crossfade.llm.tables import components, materialize, small_side
 
 PIVOTS = 64
+SAMPLE = 4096  # vectors that the pivots are taken from
+APART = 0.7  # cosine that two pivots stay below
 NEAREST = 6
 SHARED = 3
 BLOCK = 2048
@@ -81,14 +86,25 @@ def _unit(raw: pa.Array, kind) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _pivots(rows: np.ndarray) -> np.ndarray:
+    """Unit vectors from the rows, in their order, that lie apart, filled up with random directions."""
+    chosen, near = [], np.full(len(rows), -1.0)
+    for i in range(len(rows)):
+        if near[i] < APART and len(chosen) < PIVOTS:
+            chosen.append(i)
+            near = np.maximum(near, rows @ rows[i])
+    others = np.random.default_rng(rows.shape[1]).standard_normal((PIVOTS - len(chosen), rows.shape[1]))
+    return np.concatenate([rows[chosen], others / np.linalg.norm(others, axis=1, keepdims=True)])
+
+
 def _index(classes: DataFrame, kind: type) -> DataFrame:
     """(label, size, trio, node, count, nearest, raw): the inverted lists. ``nearest`` and ``trio`` are sets of pivots as
     bits; lists of different vector lengths are different lists."""
-    sample = classes.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).select("raw").collect()  # PIVOTS rows
+    sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("raw").collect()  # SAMPLE rows
     by_size: dict[int, list[bytes]] = {}
     for row in sample:
         by_size.setdefault(len(row["raw"]), []).append(bytes(row["raw"]))
-    pivots = {size: _unit(pa.array(raws, pa.binary()), kind) for size, raws in by_size.items()}
+    pivots = {size: _pivots(_unit(pa.array(raws, pa.binary()), kind)) for size, raws in by_size.items()}
     sent = classes.sparkSession.sparkContext.broadcast(pivots)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +113,8 @@ def _index(classes: DataFrame, kind: type) -> DataFrame:
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
                 points = sent.value.get(int(size))
-                if points is None or len(points) < NEAREST:  # too rare a length for the sample
-                    points = np.random.default_rng(int(size)).standard_normal((PIVOTS, size // np.dtype(kind).itemsize))
-                    points /= np.linalg.norm(points, axis=1, keepdims=True)
+                if points is None:  # too rare a length for the sample
+                    points = _pivots(np.zeros((0, size // np.dtype(kind).itemsize)))
                 for lo in range(0, part.num_rows, 1000):
                     rows = part.slice(lo, 1000)
                     order = np.argsort(-(_unit(rows.column("raw"), kind) @ points.T), axis=1, kind="stable")[:, :NEAREST]

@@ -54,5 +54,18 @@ def test_recall_on_random_neighbours(spark):
     assert total > 1000 and 0.97 * total <= found <= total
 
 
+@pytest.mark.parametrize(("share", "noise"), [(3, 0.05), (3, 0.12), (1, 0.12)])
+def test_recall_in_a_large_group_of_near_copies(spark, share, noise):
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((1500, 64))
+    rows[::share] = rows[0] + rng.standard_normal((len(rows[::share]), 64)) * noise
+    unit = rows.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    expected = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(rows)], "vec_id long, label int, embedding array<float>")
+    found = np.array([r["n_links"] for r in V.near_vectors(df).orderBy("vec_id").collect()])
+    assert (found <= expected).all() and found.sum() >= 0.99 * expected.sum()
+
+
 def test_no_vectors(spark):
     assert V.near_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<double>")).count() == 0
