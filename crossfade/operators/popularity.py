@@ -1,9 +1,12 @@
 """Popularity scores and popularity-based recommendations."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crossfade.functions.scaling import scalar
+from crossfade.operators.ordering import top_k_per_key
+from crossfade.sources.tables import materialize
 
 METHODS = ("listen_count", "user_count", "avg_listens")
 
@@ -58,10 +61,18 @@ def as_ranked_list(top: DataFrame) -> Column:
 
 
 def recommend_popular(
-    users: DataFrame, history: DataFrame, top: DataFrame, k: int = 10, n: int = 100
+    users: DataFrame,
+    history: DataFrame,
+    top: DataFrame,
+    k: int = 10,
+    n: int = 100,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """The k tracks of the n most popular ones that come first among those a user has not heard.
 
+    Who has heard so many of them that fewer than k are left gets the rest of k from all tracks of
+    ``scores``, the popularity table that ``top`` was taken from, if it is given (runs a job then).
+
     Only history rows about the n top tracks matter. They are picked with an n-row broadcast and
     collapse to at most n ids per user (map-side combined), so one small shuffle on the user
     replaces the users x n pairs an anti-join would need.
@@ -74,17 +85,53 @@ def recommend_popular(
         .agg(F.collect_set("track_id").alias("_heard"))
     )
     fresh = F.filter("_top", lambda row: ~F.array_contains("_heard", row["track_id"]))
-    return (
+    lists = (
         users.select("user_id")
         .distinct()
         .join(heard, "user_id", "left")
         .withColumn("_heard", F.coalesce("_heard", F.array().cast("array<bigint>")))
         .withColumn("_top", as_ranked_list(top))
-        .select("user_id", F.posexplode(F.slice(fresh, 1, k)).alias("_pos", "_rec"))
-        .select(
-            "user_id",
-            F.col("_rec.track_id").alias("track_id"),
-            F.col("_rec.popularity_score").alias("popularity_score"),
-            (F.col("_pos") + 1).alias("rank"),
-        )
+        .select("user_id", F.slice(fresh, 1, k).alias("_recs"))
+    )
+    recs = lists if scores is None else lists.filter(F.size("_recs") == k)
+    recs = recs.select("user_id", F.posexplode("_recs").alias("_pos", "_rec")).select(
+        "user_id",
+        F.col("_rec.track_id").alias("track_id"),
+        F.col("_rec.popularity_score").alias("popularity_score"),
+        (F.col("_pos") + 1).alias("rank"),
+    )
+    if scores is None:
+        return recs
+    # no top list at all leaves the array null
+    short = materialize(lists.filter(F.coalesce(F.size("_recs"), F.lit(0)) < k).select("user_id"))
+    return recs if short.isEmpty() else recs.unionByName(_from_all(short, history, scores, k))
+
+
+def _places(scores: DataFrame) -> DataFrame:
+    """(place, track_id, popularity_score), best first from 1: sorted ranges, numbered each on its own."""
+    best_first = scores.select("track_id", "popularity_score").orderBy(F.desc("popularity_score"), "track_id")
+    numbered = materialize(best_first.withColumn("_at", F.monotonically_increasing_id()))
+    numbered = numbered.withColumn("_range", F.shiftright("_at", 33))
+    # a row per range
+    before = F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    ranges = numbered.groupBy("_range").agg(F.count("*").alias("_n"))
+    ranges = ranges.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return numbered.join(F.broadcast(ranges), "_range").select(
+        place.alias("place"), "track_id", F.col("popularity_score").cast("double").alias("popularity_score")
+    )
+
+
+def _from_all(users: DataFrame, history: DataFrame, scores: DataFrame, k: int) -> DataFrame:
+    """The k most popular tracks that each of these users has not heard: k are left among the first k + heard."""
+    heard = materialize(history.select("user_id", "track_id").join(users, "user_id", "left_semi").distinct())
+    depth = users.join(heard.groupBy("user_id").agg(F.count("*").alias("_n")), "user_id", "left")
+    places = F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(0)) + k))
+    fresh = (
+        depth.select("user_id", places.alias("place"))
+        .join(_places(scores), "place")
+        .join(heard, ["user_id", "track_id"], "left_anti")
+    )
+    return top_k_per_key(fresh, ["user_id"], [F.col("place")], k).select(
+        "user_id", "track_id", "popularity_score", "rank"
     )

@@ -137,7 +137,7 @@ def bucketed_write(st, spark, sf_dir):
         st.test_users,
         "user_id",
         lambda users: popularity.recommend_popular(
-            users, train.join(users, "user_id", "left_semi"), top, K
+            users, train.join(users, "user_id", "left_semi"), top, K, scores=st.popularity
         ),
         scratch(spark),
         buckets=4,
@@ -354,7 +354,9 @@ def top_popular(st, spark, sf_dir):
 
 @query
 def recommend_popular(st, spark, sf_dir):
-    return popularity.recommend_popular(st.test_users, st.train_events, st.top_popular, K)
+    return popularity.recommend_popular(
+        st.test_users, st.train_events, st.top_popular, K, scores=st.popularity
+    )
 
 
 # --- ranking data --------------------------------------------------------------------------

@@ -220,7 +220,11 @@ class Stages:
         return self.table(
             "evaluated_popularity",
             lambda: popularity.recommend_popular(
-                self.test_users, self.train_events, self.top_popular, self.parameters.n_recs
+                self.test_users,
+                self.train_events,
+                self.top_popular,
+                self.parameters.n_recs,
+                scores=self.popularity,
             ),
         )
 

@@ -102,3 +102,15 @@ def test_recommend_popular_skips_heard_tracks(spark, events):
     assert found == [(1, 1, 12), (2, 1, 11), (9, 1, 10), (9, 2, 11)]
     # only the n most popular tracks are candidates
     assert rows(recommend_popular(users, events, top, 2, n=1).select("user_id", "track_id")) == [(9, 10)]
+
+
+def test_recommend_popular_fills_up_heavy_users(spark):
+    scores = spark.createDataFrame([(t, 1000 - t // 2) for t in range(300)], "track_id long, popularity_score long")
+    heard = [(1, t) for t in range(95)] + [(1, t) for t in (101, 104, 104)] + [(2, t) for t in range(300)] + [(3, 0)]
+    history = spark.createDataFrame(heard, "user_id long, track_id long")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "user_id long")
+    found = recommend_popular(users, history, top_popular(scores, 100), 10, scores=scores)
+    ranked = [(r.user_id, r.rank, r.track_id, r.popularity_score) for r in found.orderBy("user_id", "rank").collect()]
+    mine = [95, 96, 97, 98, 99, 100, 102, 103, 105, 106]
+    expected = [(1, i + 1, t, 1000.0 - t // 2) for i, t in enumerate(mine)]
+    assert ranked == expected + [(3, i, i, 1000.0 - i // 2) for i in range(1, 11)]
