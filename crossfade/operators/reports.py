@@ -112,7 +112,7 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows, nulls and distinct values."""
+    """One row per column: type, rows and nulls."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     stats = df.agg(
         F.count("*").alias("_rows"),
