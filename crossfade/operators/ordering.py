@@ -1,80 +1,133 @@
 """Order-based building blocks that never put a whole column into one task."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from crossfade.functions.scaling import scalar
 from crossfade.sources.tables import materialize
 
-_SLICES = 256
+RANGE_ROWS = 1 << 20  # distinct values handled by one task
 
 
-def running_total(
-    df: DataFrame, order_col: str, weight_col: str, out: str, slices: int = _SLICES
-) -> DataFrame:
-    """Inclusive running sum of ``weight_col`` in ascending order of a unique numeric column.
+def place_in_ranges(df: DataFrame, order: list[str], rows: int = RANGE_ROWS) -> DataFrame:
+    """``df`` written in ranges of ``order``, each sorted and of about ``rows`` rows, with two more
+    columns: ``_part``, the number of the range, and ``_place``, the row's number in it from 0.
 
-    The column is cut into ``slices`` ranges at its approximate quantiles; each range is summed and
-    windowed on its own, and the totals of the ranges before it (at most ``slices`` rows) are added.
-    The result is exact whatever the cut points are; they only balance the ranges. ``df`` is read
-    three times, so pass a table or a materialized frame.
+    The number of ranges follows the number of rows, so tasks grow in number and not in size. The
+    result is a table, so ranges and places stay as they are however often it is read. Runs jobs.
     """
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(order_col, probabilities, 10_000).alias("cuts"))
-    sliced = (
-        df.withColumn("_cuts", scalar(cuts, "cuts"))
-        .withColumn(
-            "_slice", F.size(F.filter(F.col("_cuts"), lambda cut: cut < F.col(order_col)))
+    table = materialize(df)
+    parts = -(-table.count() // rows) or 1
+    numbered = (
+        table.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id())  # range number, then 33 bits of place
+    )
+    return materialize(
+        numbered.select(
+            *df.columns,
+            F.shiftrightunsigned("_at", 33).cast("int").alias("_part"),
+            F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"),
         )
-        .drop("_cuts")
     )
-    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("_slice")
-        .agg(F.sum(weight_col).alias("_total"))
-        .select("_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+
+
+def range_offsets(placed: DataFrame, total: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """(*keys, _part, _total, _offset): the sum of each range, and of all ranges before it."""
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        placed.groupBy(*keys, "_part")
+        .agg(total.alias("_total"))
+        .withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0)))
     )
-    within = W.partitionBy("_slice").orderBy(order_col).rowsBetween(W.unboundedPreceding, 0)
-    # the offsets have at most `slices` rows, so the broadcast size is fixed
+
+
+def _add_offset(df: DataFrame, placed: DataFrame, total: Column, col: str) -> DataFrame:
+    # one row for each range, so the broadcast holds a millionth of the rows
+    offsets = range_offsets(placed, total).select("_part", "_offset")
+    return df.join(F.broadcast(offsets), "_part").withColumn(col, F.col(col) + F.col("_offset"))
+
+
+def running_total(
+    df: DataFrame, order_col: str, weight_col: str, out: str, rows: int = RANGE_ROWS
+) -> DataFrame:
+    """Inclusive running sum of ``weight_col`` in ascending order of a unique column of any sorted
+    type: summed within ranges of the column, plus the totals of the ranges before."""
+    placed = place_in_ranges(df, [order_col], rows)
+    within = W.partitionBy("_part").orderBy("_place").rowsBetween(W.unboundedPreceding, 0)
+    summed = placed.withColumn(out, F.sum(weight_col).over(within))
+    return _add_offset(summed, placed, F.sum(weight_col), out).drop("_part", "_place", "_offset")
+
+
+def dense_index(df: DataFrame, id_cols: str | list[str], out: str, rows: int = RANGE_ROWS) -> DataFrame:
+    """Distinct ids in ascending order, numbered from 0 without gaps; ids may be of any sorted type
+    or of several columns (nulls first). Places in ranges are known from the write, so nothing is
+    windowed."""
+    ids = [id_cols] if isinstance(id_cols, str) else id_cols
+    placed = place_in_ranges(df.select(*ids).distinct(), ids, rows)
+    numbered = placed.withColumn(out, F.col("_place"))
+    return _add_offset(numbered, placed, F.count("*"), out).select(*ids, F.col(out).cast("long"))
+
+
+def histogram_quantiles(
+    histogram: DataFrame, quantiles: Sequence[float], rows: int = RANGE_ROWS
+) -> DataFrame:
+    """(column_name, q, value) from a histogram (column_name, value, n) of distinct values without
+    nulls: for every column the value at row ``round((n - 1) * q)`` in sorted order, exactly.
+
+    All columns are placed in ranges together. Sums of the ranges tell in which one a wanted row
+    lies, and only these ranges (columns times quantiles at most) are summed up value by value.
+    """
+    placed = place_in_ranges(histogram, ["column_name", "value"], rows)
+    offsets = range_offsets(placed, F.sum("n"), ["column_name"])
+    totals = offsets.groupBy("column_name").agg(F.sum("_total").alias("_rows"))
+    wanted = F.explode(F.array(*(F.lit(float(q)) for q in quantiles))).alias("q")
+    row = F.round((F.col("_rows") - 1) * F.col("q")).cast("long")
+    targets = totals.select("column_name", "_rows", wanted).withColumn("_row", row)
+    holding = offsets.join(F.broadcast(targets), "column_name").filter(
+        (F.col("_row") >= F.col("_offset")) & (F.col("_row") < F.col("_offset") + F.col("_total"))
+    )
+    within = W.partitionBy("column_name", "q").orderBy("_place").rowsBetween(W.unboundedPreceding, 0)
     return (
-        sliced.withColumn(out, F.sum(weight_col).over(within))
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(out, F.col(out) + F.col("_offset"))
-        .drop("_slice", "_offset")
+        placed.join(
+            F.broadcast(holding.select("column_name", "_part", "q", "_row", "_offset")),
+            ["column_name", "_part"],
+        )
+        .withColumn("_upto", F.sum("n").over(within) + F.col("_offset"))
+        .filter(F.col("_upto") > F.col("_row"))
+        .groupBy("column_name", "q")
+        .agg(F.min("value").alias("value"))
     )
 
 
-def dense_index(df: DataFrame, id_col: str, out: str) -> DataFrame:
-    """Distinct ids in ascending order, numbered from 0 without gaps."""
-    ids = materialize(df.select(id_col).distinct().withColumn("_one", F.lit(1).cast("long")))
-    return running_total(ids, id_col, "_one", out).select(
-        id_col, (F.col(out) - 1).cast("long").alias(out)
+def value_histogram(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """(column_name, value, n) of several columns of one type, nulls included, in one pass over
+    ``df``; equal values are counted before the shuffle."""
+    cells = F.array(
+        *(
+            F.struct(F.lit(name).alias("column_name"), col.alias("value"))
+            for name, col in columns.items()
+        )
     )
+    return df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def exact_quantiles(df: DataFrame, col: str | Column, quantiles: dict[str, float]) -> DataFrame:
     """One row, a column per name: the value at row ``round((n - 1) * q)`` in sorted order.
 
     One pass over ``df`` builds the histogram (map-side combined), which is written to the shared
-    folder; the rest works on distinct values. Nulls are ignored. Runs a job.
+    folder; the rest works on distinct values. Nulls are ignored. Runs jobs.
     """
     column = F.col(col) if isinstance(col, str) else col
-    histogram = materialize(
-        df.select(column.alias("_value"))
-        .filter(F.col("_value").isNotNull())
-        .groupBy("_value")
-        .agg(F.count("*").alias("_n"))
-    )
-    last = scalar(histogram, F.sum("_n") - 1)
-
-    def at(q: float) -> Column:
-        return F.min(F.when(F.col("_upto") > F.round(F.col("_last") * F.lit(float(q))), F.col("_value")))
-
-    return (
-        running_total(histogram, "_value", "_n", "_upto")
-        .withColumn("_last", last)
-        .agg(*(at(q).alias(name) for name, q in quantiles.items()))
+    histogram = value_histogram(df, {"value": column}).filter(F.col("value").isNotNull())
+    found = histogram_quantiles(histogram, sorted(set(quantiles.values())))
+    return found.agg(
+        *(
+            F.min(F.when(F.col("q") == float(q), F.col("value"))).alias(name)
+            for name, q in quantiles.items()
+        )
     )
 
 

@@ -7,14 +7,17 @@ from crossfade.operators.ordering import (
     dense_index,
     exact_quantiles,
     hash_order,
+    histogram_quantiles,
+    place_in_ranges,
     running_total,
     sample_keys,
     split_row_number,
     top_k_per_key,
+    value_histogram,
 )
 
 
-def test_running_total_any_slices(spark):
+def test_running_total_any_ranges(spark):
     random.seed(1)
     values = random.sample(range(-1000, 100_000), 500) + [2**62]
     rows = [(v, random.randint(0, 9)) for v in values]
@@ -23,8 +26,8 @@ def test_running_total_any_slices(spark):
     for v, w in sorted(rows):
         total += w
         expected[v] = total
-    for slices in (2, 7, 256):
-        found = running_total(df, "v", "w", "t", slices).collect()
+    for rows in (2, 7, 256, 10_000):
+        found = running_total(df, "v", "w", "t", rows).collect()
         assert {row.v: row.t for row in found} == expected
 
 
@@ -34,6 +37,42 @@ def test_dense_index(spark):
     assert {r.id: r.idx for r in found.collect()} == {-3: 0, 5: 1, 7: 2, 10**15: 3}
 
 
+def test_dense_index_of_many_ranges_and_several_columns(spark):
+    rows = [(None if i % 9 == 0 else f"s{i % 37:02d}", i % 2 == 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "name string, flag boolean").repartition(5)
+    expected = sorted(set(rows), key=lambda r: (r[1], r[0] is not None, r[0] or ""))
+    for size in (3, 1000):
+        found = dense_index(df, ["flag", "name"], "idx", size).collect()
+        assert [(r.name, r.flag) for r in sorted(found, key=lambda r: r.idx)] == expected
+        assert sorted(r.idx for r in found) == list(range(len(expected)))
+
+
+def test_ranges_follow_the_number_of_rows(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
+    for rows, parts in ((100, 10), (1000, 1)):
+        placed = place_in_ranges(df, ["v"], rows)
+        assert placed.select("_part").distinct().count() == parts
+        largest = placed.groupBy("_part").count().agg(F.max("count")).first()[0]
+        assert largest <= 2 * rows
+    assert place_in_ranges(df.limit(0), ["v"]).count() == 0
+
+
+def test_quantiles_of_several_columns_at_once(spark):
+    random.seed(5)
+    rows = [(random.randint(0, 30), random.random() if i % 4 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b double")
+    histogram = value_histogram(df, {"a": F.col("a").cast("double"), "b": F.col("b")})
+    histogram = histogram.filter("value is not null")
+    levels = [0.0, 0.25, 0.5, 0.75, 1.0]
+    expected = {}
+    for k, name in enumerate("ab"):
+        values = sorted(r[k] for r in rows if r[k] is not None)
+        expected |= {(name, q): values[int((len(values) - 1) * q + 0.5)] for q in levels}
+    for size in (9, 10_000):
+        found = histogram_quantiles(histogram, levels, size).collect()
+        assert {(r.column_name, r.q): r.value for r in found} == expected
+
+
 @pytest.mark.parametrize("n", [1, 2, 11, 300])
 def test_quantile_is_the_nearest_row(spark, n):
     random.seed(n)

@@ -86,7 +86,7 @@ def test_recommend_als_never_repeats_history(model_data):
     assert all(r == list(range(1, len(r) + 1)) for r in ranks.values())
     assert len(ranks[100]) <= 2 and len(ranks[101]) == 5
     assert 125 not in ranks  # unknown to the model
-    assert dict(recs.dtypes) == {"user_id": "bigint", "track_id": "bigint", "score": "float", "rank": "tinyint"}
+    assert dict(recs.dtypes) == {"user_id": "bigint", "track_id": "bigint", "score": "float", "rank": "int"}
 
 
 def test_recommend_als_without_history_equals_mllib(model_data):
