@@ -51,7 +51,56 @@ select m.vec_id, coalesce(n.k, 0) n_links, comp.c component_id, m.vec_id = comp.
 from embeddings m join comp on comp.node = m.vec_id left join n on n.a = m.vec_id
 """
 
+_TERMS = _WORDS.format(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+DIVERGENCE = f"""
+with d as (select row_number() over () id, coalesce(lang, '') lang, coalesce(source, '') source, {_TERMS} w from documents),
+groups as (select distinct lang, source from d),
+tok as (select id, lang, source, unnest(w) term from d),
+kept as (select lang, term, count(*) k from tok group by 1, 2 having count(distinct id) >= 10),
+c as (select t.lang, t.source, t.term, count(*) k from tok t join kept using (lang, term) group by 1, 2, 3),
+vocabulary as (select lang, count(*) v, sum(k) n from kept group by 1),
+sizes as (select lang, source, sum(k) n from c group by 1, 2),
+rate as (select g.lang, g.source, kept.term, coalesce(c.k, 0) k,
+    1 + (1000000000::hugeint * (coalesce(c.k, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.v) p,
+    1 + (1000000000::hugeint * (kept.k + 2)) // (v.n + 2 * v.v) q
+  from groups g join kept using (lang) join vocabulary v using (lang)
+  left join sizes s on s.lang = g.lang and s.source = g.source
+  left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term),
+pair as (select g.lang, g.source, h.source item, coalesce(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)), 0) value
+  from groups g join groups h on g.lang = h.lang and g.source <> h.source
+  left join rate a on a.lang = g.lang and a.source = g.source
+  left join rate b on b.lang = h.lang and b.source = h.source and b.term = a.term
+  group by 1, 2, 3),
+term as (select lang, source, term item, (p - q) * (p - q) // (p + q) value from rate where k > 0 and p > q),
+parts as (select 'pair' part, * from pair union all select 'term' part, * from term),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) rank from parts)
+select lang, source, part, item, value::bigint value, rank::int rank from ranked where part = 'pair' or rank <= 10
+"""
+
+MIX = r"""
+with s as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
+    md5(concat_ws(':', doc_id::varchar, text, '42')) draw from documents),
+g as (select source, sum(size)::hugeint size, row_number() over (order by source nulls last) - 1 place from s group by source),
+w as (select *, (case place % 3 when 0 then 5 when 1 then 2 else 1 end)::hugeint weight, 3 * size cap,
+    sum(size) over ()::hugeint total from g),
+o as (select *, cap::double / weight::double r,
+    coalesce(sum(cap) over (order by cap::double / weight::double, place rows between unbounded preceding and 1 preceding), 0)::hugeint clamped,
+    sum(weight) over (order by cap::double / weight::double, place rows between current row and unbounded following)::hugeint open from w),
+level as (select total - clamped top, open bottom from o where (total - clamped) * weight <= cap * open order by r, place limit 1),
+t as (select source, size, case when cap * bottom <= weight * top then cap::double else (weight * top)::double / bottom::double end target,
+    case when cap * bottom <= weight * top then cap else (2 * weight * top + bottom) // (2 * bottom) end quota from w, level),
+b as (select s.*, t.size source_size, t.target, case when t.size > 0 then t.quota // t.size else 0 end whole,
+    case when t.size > 0 then t.quota % t.size else 0 end rest,
+    coalesce(sum(s.size) over (partition by s.source order by s.draw, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0) earlier
+  from s join t on s.source is not distinct from t.source)
+select doc_id, size, source_size::bigint source_size, target,
+  (whole * size + greatest(0, least(size, rest - earlier)))::bigint taken from b
+"""
+
 SQL = {
+    "op11_source_divergence": DIVERGENCE,
+    "op12_source_mix": MIX,
     "op4_near_vectors": NEAR_VECTORS,
     "op3_contamination": CONTAMINATION,
     "op9_ngram_jaccard": JACCARD.format(words=_SPACE_WORDS, width=3, percent=90)

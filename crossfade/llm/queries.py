@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from crossfade.llm import (
     context_tree,
     decontaminate,
+    divergence,
     html_text,
     license_scan,
+    mixing,
     ngram_join,
     pieces,
     token_files,
     toxicity,
     url_filter,
     vectors,
+    whitening,
 )
 from crossfade.llm.tables import table
 
@@ -69,6 +72,18 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.document_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -81,6 +96,9 @@ def queries() -> dict[str, Query]:
         "op8_pieces": op8_pieces,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_context_tree": op10_context_tree,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_source_mix": op12_source_mix,
+        "op13_whitening": op13_whitening,
     }
 
 
