@@ -33,7 +33,7 @@ def similar_items(
         wanted = unit.join(only.select("track_id").distinct(), "track_id", "left_semi")
     itself = wanted.select(F.col("track_id").alias("query_id"), F.col("track_id").alias("item_id"))
     return top_k_products(
-        wanted.withColumnRenamed("track_id", "query_id"),
+        None if only is None else wanted.withColumnRenamed("track_id", "query_id"),
         unit.withColumnRenamed("track_id", "item_id"),
         k,
         itself,

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from crossfade.operators import products
 from crossfade.operators.als import fit_als, item_vectors, recommend_als
 from crossfade.operators.products import top_k_products
 from crossfade.operators.similar import similar_items, similar_lookup
@@ -106,3 +107,49 @@ def test_item_vectors_feed_similarity(model_data):
     found = similar_items(item_vectors(model, items).toDF("track_id", "features"), 3)
     assert found.count() == 3 * model.itemFactors.count()
     assert found.filter("track_id = similar_track_id or abs(similarity_score) > 1.000001").count() == 0
+
+
+def clustered(n, size, clusters, seed):
+    rng = np.random.default_rng(seed)
+    centres = np.random.default_rng(7).normal(size=(clusters, size))
+    rows = centres[rng.integers(0, clusters, n)] + 0.05 * rng.normal(size=(n, size))
+    return {i: row for i, row in enumerate(rows * np.exp(0.3 * rng.normal(size=(n, 1))))}
+
+
+@pytest.mark.parametrize("one_step", [0, 10**6])
+def test_bounds_open_few_blocks_and_lose_nothing(spark, monkeypatch, one_step):
+    monkeypatch.setattr(products, "ONE_STEP", one_step)
+    monkeypatch.setattr(products, "HOME_ROWS", 64)
+    queries, items = clustered(300, 12, 25, 1), clustered(1500, 12, 25, 2)
+    barred = {(q, i) for q in range(0, 300, 3) for i in range(q % 7, 1500, 5)}
+    excluded = spark.createDataFrame(sorted(barred), "query_id long, item_id long")
+    found = products.search_blocks(
+        vectors(spark, queries, "query_id"), vectors(spark, items, "item_id"), 4, excluded, 20, 30, stripe=3
+    )
+    assert lists(found.rows, "query_id", "item_id") == brute_force(queries, items, 4, barred)
+    pairs = found.pairs.first()
+    assert pairs.opened < 0.4 * pairs.query_blocks * pairs.item_blocks
+
+
+@pytest.mark.parametrize("one_step", [0, 10**6])
+def test_copies_in_many_blocks_tie_by_id(spark, monkeypatch, one_step):
+    monkeypatch.setattr(products, "ONE_STEP", one_step)
+    monkeypatch.setattr(products, "HOME_ROWS", 10)
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=9)
+    items = {i: hot if i % 3 else rng.normal(size=9) for i in range(200)}
+    found = products.search_blocks(None, vectors(spark, items, "item_id"), 6, None, None, 8)
+    got = lists(found.rows, "query_id", "item_id")
+    copies = [i for i in items if i % 3]
+    assert all(got[i] == copies[:6] for i in copies)
+    assert {q: set(f) for q, f in got.items() if q % 3 == 0} == {q: set(f) for q, f in brute_force(items, items, 6).items() if q % 3 == 0}
+
+
+def test_vectors_without_a_product_are_left_out(spark):
+    good = {1: [1.0, 0.0], 2: [0.0, 2.0], 3: [1.0, 1.0]}
+    rows = [(i, v) for i, v in good.items()] + [(4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, None), (7, [None, 1.0])]
+    table = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    found = top_k_products(table.withColumnRenamed("item_id", "query_id"), table, 9)
+    assert lists(found, "query_id", "item_id") == brute_force(good, good, 9)
+    assert top_k_products(None, table.limit(0), 3).collect() == []
+    assert top_k_products(table.limit(0).withColumnRenamed("item_id", "query_id"), table, 3).collect() == []
