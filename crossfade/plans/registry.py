@@ -674,29 +674,33 @@ def rec_lists(st, spark, sf_dir):
 # --- streaming -----------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select(
-            "user_id",
-            (F.col("event_id") % vectors).alias("track_id"),
-            "event_id",
-            F.col("ts").cast("timestamp").alias("ts"),
-        )
+def _streamed(spark, sf_dir, start) -> None:
+    """Run ``start(events)`` over the feed in four micro-batches and a restart: two files are there at first, two come
+    later. Files are dealt by a hash of the event, so each holds events later and earlier than the others'."""
+    feed, vectors = scratch(spark), spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "user_id",
+        (F.col("event_id") % vectors).alias("track_id"),
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.pmod(F.hash("event_id"), F.lit(4)).alias("file"),
     )
+    for files in ((0, 1), (2, 3)):
+        part = events.where(F.col("file").isin(*files))
+        part.repartition(2, "file").drop("file").write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(part.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        start(stream).awaitTermination()
 
 
 @query
 def recent_events_stream(st, spark, sf_dir):
     root = scratch(spark)
-    updates = stream_history_module.stream_history(_event_stream(spark, sf_dir))
-    stream_history_module.write_batches(
-        updates, f"{root}/history", f"{root}/checkpoint"
-    ).awaitTermination()
+
+    def start(events):
+        updates = stream_history_module.stream_history(events)
+        return stream_history_module.write_batches(updates, f"{root}/history", f"{root}/checkpoint", compact_every=2)
+
+    _streamed(spark, sf_dir, start)
     return stream_history_module.latest_rows(
         spark, f"{root}/history", stream_history_module.HISTORY_SCHEMA
     )
@@ -707,14 +711,18 @@ def blend_stream(st, spark, sf_dir):
     """Blended lists of all users with events, refreshed as events arrive."""
     root = scratch(spark)
     personal = tables.write_table(_personal_lists(st, spark, sf_dir), root, "personal")
-    stream_blend(
-        stream_history_module.stream_history(_event_stream(spark, sf_dir)),
-        _similar(st, spark, sf_dir),
-        personal,
-        st.top_popular,
-        f"{root}/blend",
-        f"{root}/checkpoint",
-    ).awaitTermination()
+
+    def start(events):
+        return stream_blend(
+            stream_history_module.stream_history(events),
+            _similar(st, spark, sf_dir),
+            personal,
+            st.top_popular,
+            f"{root}/blend",
+            f"{root}/checkpoint",
+        )
+
+    _streamed(spark, sf_dir, start)
     return stream_history_module.latest_rows(spark, f"{root}/blend", BLEND_SCHEMA)
 
 

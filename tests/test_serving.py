@@ -1,10 +1,13 @@
 import random
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from crossfade.operators import serving as S
+from crossfade.sources import manifest
 from crossfade.sources.tables import write_table
 from crossfade.streaming.history import HISTORY_SCHEMA, latest_rows, stream_history, write_batches
 from crossfade.streaming.live_blend import BLEND_SCHEMA, stream_blend
@@ -171,6 +174,55 @@ def test_an_empty_answer_replaces_the_one_before(spark, folder):
     assert rows(latest_rows(spark, f"{folder}/out", "user_id long, track_id long"), "user_id", "track_id") == [(2, 5)]
 
 
+def test_snapshots_replace_micro_batches(spark, folder):
+    batches = _event_batches(9, seed=6)
+    counts = []
+    for i, batch in enumerate(batches):  # a restart before every file
+        events = _stream(spark, folder, [batch])
+        write_batches(
+            stream_history(events), f"{folder}/out", f"{folder}/cp", compact_every=2, buckets=3
+        ).awaitTermination()
+        found = latest_rows(spark, f"{folder}/out", HISTORY_SCHEMA)
+        expected = S.recent_events(spark.createDataFrame(sum(batches[: i + 1], []), EVENT_SCHEMA))
+        cols = ("user_id", "position", "track_id")
+        assert rows(found, *cols) == rows(expected, *cols)
+        counts.append(sum(len(manifest.folders(spark, f"{folder}/out/{kind}")) for kind in ("rows", "users", "snapshots", "_commits")))
+    assert max(counts) <= 2 * 2 * 2 + 2 + 2
+    number, record = manifest.latest(spark, f"{folder}/out")
+    assert number == 4 and record["upto"] == 7
+    assert len(list(Path(f"{folder}/out/{record['snapshot']}").glob("*.parquet"))) <= 3
+
+
+def test_a_batch_run_again_after_its_snapshot_changes_nothing(spark, folder):
+    batches = _event_batches(3, seed=8)
+    for batch in batches:
+        write_batches(stream_history(_stream(spark, folder, [batch])), f"{folder}/out", f"{folder}/cp", compact_every=2).awaitTermination()
+    cols = ("user_id", "position", "track_id")
+    before = rows(latest_rows(spark, f"{folder}/out", HISTORY_SCHEMA), *cols)
+    shutil.copytree(f"{folder}/out/rows/batch_id=2", f"{folder}/out/rows/batch_id=1", dirs_exist_ok=True)
+    shutil.copytree(f"{folder}/out/users/batch_id=2", f"{folder}/out/users/batch_id=1", dirs_exist_ok=True)
+    assert rows(latest_rows(spark, f"{folder}/out", HISTORY_SCHEMA), *cols) == before
+
+
+def test_idle_users_are_forgotten(spark, folder):
+    def run(*events):
+        stream = _stream(spark, folder, [[(u, t, t, START + timedelta(days=d)) for u, t, d in events]])
+        updates = stream_history(stream, idle_days=10, late="1 hour")
+        write_batches(updates, f"{folder}/out", f"{folder}/cp").awaitTermination()
+        return rows(latest_rows(spark, f"{folder}/out", HISTORY_SCHEMA), "user_id", "position", "track_id")
+
+    assert run((1, 10, 0), (2, 20, 0)) == [(1, 0, 10), (2, 0, 20)]
+    assert run((1, 11, 6)) == [(1, 0, 11), (1, 1, 10), (2, 0, 20)]  # moves the timer of user 1
+    run((3, 30, 12))  # the watermark passes day 10
+    assert run((3, 31, 12)) == [(1, 0, 11), (1, 1, 10), (3, 0, 31), (3, 1, 30)]
+    assert run((2, 21, 13))[2] == (2, 0, 21)  # begins anew
+
+
+def test_state_is_kept_in_rocksdb(spark, folder):
+    write_batches(stream_history(_stream(spark, folder, _event_batches(1))), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    assert list(Path(f"{folder}/cp/state").rglob("*.zip")) or list(Path(f"{folder}/cp/state").rglob("*.changelog"))
+
+
 def test_no_output_is_a_clear_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         latest_rows(spark, f"{folder}/nothing", HISTORY_SCHEMA)
