@@ -1,11 +1,12 @@
 """Implicit-feedback matrix factorisation and its recommendations."""
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfade.operators.products import top_k_products
 from crossfade.session import shared_dir
+from crossfade.sources import manifest
 
 
 def fit_als(
@@ -43,11 +44,25 @@ def fit_als(
     return als.fit(matrix)
 
 
-def save_als(model: ALSModel, path: str) -> None:
+def save_als(model: ALSModel, path: str, parameters: dict | None = None) -> None:
+    """The factors, then a record of what they were fitted with (the model itself only knows their number)."""
     model.write().overwrite().save(path)
+    manifest.commit(model.userFactors.sparkSession, path, {"parameters": parameters or {}, "factors": model.rank}, 0)
 
 
-def load_als(path: str) -> ALSModel:
+def als_parameters(spark: SparkSession, path: str) -> dict:
+    """What a saved model was fitted with. A model without its record was not saved to the end."""
+    number, record = manifest.latest(spark, path)
+    if not number:
+        raise FileNotFoundError(f"no complete model at {path}")
+    return record["parameters"]
+
+
+def load_als(path: str, parameters: dict | None = None) -> ALSModel:
+    """A saved model; with ``parameters`` one fitted with others is refused."""
+    saved = als_parameters(SparkSession.getActiveSession(), path)
+    if parameters is not None and parameters != saved:
+        raise ValueError(f"the model at {path} was fitted with {saved}")
     return ALSModel.load(path)
 
 

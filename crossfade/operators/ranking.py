@@ -226,37 +226,66 @@ def labelled_candidates(
     return users_with_positive(labelled) if only_positive_users else labelled
 
 
-def run_ranking(
+def train_ranker(
     personal: DataFrame,
     top: DataFrame,
     catalog: DataFrame,
     train_events: DataFrame,
     label_events: DataFrame,
-    k: int = 10,
     sample_users: int | None = 10_000,
     iterations: int = 100,
     multiplier: int = 4,
     seed: int = 42,
     only_positive_users: bool = True,
-) -> tuple[PipelineModel, DataFrame]:
-    """Train the ranker and return it with the top k for every user of ``personal``.
+) -> PipelineModel:
+    """The ranker, learnt from the candidates of at most ``sample_users`` users of ``personal`` and, with
+    ``only_positive_users``, of those only who have a positive.
 
-    ``sample_users`` (in users) and ``only_positive_users`` bound the rows the ranker learns from; they
-    do not decide who gets a list. With the usual test events as labels the ranker sees the events it may later be judged on; pass
+    With the usual test events as labels the ranker sees the events it may later be judged on; pass
     other label events to keep them apart.
     """
-    features = materialize(track_features(catalog, train_events))
-    candidates = materialize(
-        labelled_candidates(
-            personal, top, features, label_events, sample_users, seed, only_positive_users
-        )
+    candidates = labelled_candidates(
+        personal, top, track_features(catalog, train_events), label_events, sample_users, seed, only_positive_users
     )
-    train = materialize(sample_negatives(candidates, multiplier, seed))
-    model = fit_ranker(train, iterations=iterations, seed=seed)
+    train = materialize(sample_negatives(materialize(candidates), multiplier, seed))
+    return fit_ranker(train, iterations=iterations, seed=seed)
+
+
+def rank_all(
+    model: PipelineModel,
+    personal: DataFrame,
+    top: DataFrame,
+    catalog: DataFrame,
+    train_events: DataFrame,
+    label_events: DataFrame,
+    k: int = 10,
+) -> DataFrame:
+    """The top k for every user of ``personal``; ``target`` is shown, not used."""
     users = personal.select("user_id").distinct()
     merged = merge_candidates(als_candidates(personal), popular_candidates(users, top), users)
-    scored = add_labels(add_track_features(merged, features), label_events)  # target is shown, not used
-    return model, top_k_per_user(predict_and_rank(model, scored), k)
+    features = materialize(track_features(catalog, train_events))
+    scored = add_labels(add_track_features(merged, features), label_events)
+    return top_k_per_user(predict_and_rank(model, scored), k)
+
+
+def run_ranking(
+    personal: DataFrame,
+    top: DataFrame,
+    catalog: DataFrame,
+    train_events: DataFrame,
+    label_events: DataFrame,
+    k: int = 10,
+    sample_users: int | None = 10_000,
+    iterations: int = 100,
+    multiplier: int = 4,
+    seed: int = 42,
+    only_positive_users: bool = True,
+) -> tuple[PipelineModel, DataFrame]:
+    """Train the ranker and return it with the top k for every user of ``personal``: ``sample_users`` and
+    ``only_positive_users`` do not decide who gets a list."""
+    inputs = (personal, top, catalog, train_events, label_events)
+    model = train_ranker(*inputs, sample_users, iterations, multiplier, seed, only_positive_users)
+    return model, rank_all(model, *inputs, k)
 
 
 def rank_with_model(

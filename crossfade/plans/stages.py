@@ -1,13 +1,14 @@
 """The batch run as a set of written tables, each built from the ones before it."""
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crossfade.operators import als, catalog, evaluate, events, popularity, ranking, similar
-from crossfade.sources import tables
+from crossfade.sources import manifest, tables
 
 
 @dataclass(frozen=True)
@@ -32,12 +33,21 @@ class Parameters:
     rec_buckets: int = 1
 
 
+# what a change of these parameters makes stale is only how the work was cut
+_HOW = ("rec_buckets",)
+
+
 @dataclass
 class Stages:
     """Lazily written tables under ``root``; asking for one writes it and what it needs, once.
 
     Steps hand over through files: every table is computed once however many steps read it, and
-    Spark plans each step with exact sizes. With ``resume`` tables already there are kept.
+    Spark plans each step with exact sizes.
+
+    A commit record (``sources.manifest``) below ``root`` holds the parameters of the run, the tables that are
+    complete and the models with their ids and parameters; it is written after what it names. With ``resume``
+    the tables and models of the last record are kept, so buckets written before and after a break come from one
+    model. Going on with other parameters is an error. Without ``resume`` a new record starts from nothing.
     """
 
     spark: SparkSession
@@ -49,20 +59,59 @@ class Stages:
     resume: bool = False
     _done: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self._number, last = manifest.latest(self.spark, self.root)
+        given = {k: v for k, v in asdict(self.parameters).items() if k not in _HOW}
+        if self.resume and last:
+            changed = sorted(k for k in given.keys() | last["parameters"].keys() if given.get(k) != last["parameters"].get(k))
+            if changed:
+                raise ValueError(f"{self.root} was begun with other {', '.join(changed)}")
+            self._record = last
+        else:
+            self._commit({"run": uuid.uuid4().hex, "parameters": given, "tables": [], "models": {}})
+
+    def _commit(self, record: dict) -> None:
+        self._number = manifest.commit(self.spark, self.root, record, self._number)
+        self._record = record
+
+    @property
+    def record(self) -> dict:
+        """The run's id, parameters, complete tables and models."""
+        return self._record
+
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._done:
-            found = tables.existing_table(self.spark, self.root, name) if self.resume else None
+            found = None
+            if name in self._record["tables"]:
+                found = tables.existing_table(self.spark, self.root, name)
             if found is None:
                 found = tables.write_table(build(), self.root, name)
+                if name not in self._record["tables"]:
+                    self._commit(self._record | {"tables": [*self._record["tables"], name]})
             self._done[name] = found
         return self._done[name]
 
-    def _bucketed(self, name: str, keys: DataFrame, key: str, build) -> DataFrame:
-        """``build(keys)``, as one write or in key buckets."""
+    def _model(self, name: str, parameters: dict, fit: Callable[[], object], save, load):
+        """A fitted model, kept below the run's own folder under a new id and noted when it is complete."""
+        if name not in self._done:
+            entry = self._record["models"].get(name)
+            if entry is None:
+                model, model_id = fit(), uuid.uuid4().hex
+                entry = {"id": model_id, "path": f"models/{name}-{model_id}", "parameters": parameters}
+                save(model, f"{self.root}/{entry['path']}")
+                self._commit(self._record | {"models": self._record["models"] | {name: entry}})
+            self._done[name] = load(f"{self.root}/{entry['path']}")
+        return self._done[name]
+
+    def _bucketed(self, name: str, keys: DataFrame, key: str, build, model: str) -> DataFrame:
+        """``build(keys)``, as one write or in key buckets, all with the model of the last record."""
         if self.parameters.rec_buckets <= 1:
             return build(keys)
+        getattr(self, f"{model}_model")  # complete and noted before the first bucket
+        entry = self._record["models"][model]
         return tables.write_in_buckets(
-            keys, key, build, f"{self.root}/buckets/{name}", self.parameters.rec_buckets
+            keys, key, build, f"{self.root}/buckets/{self._record['run']}/{name}", self.parameters.rec_buckets,
+            made_with={"model": entry["id"], "parameters": manifest.fingerprint(self._record["parameters"])},
         )
 
     # preprocessing
@@ -146,15 +195,16 @@ class Stages:
 
     @property
     def als_model(self):
-        p, path = self.parameters, f"{self.root}/models/als"
-        if "als_model" not in self._done:
-            # always fitted anew: a model folder does not show whether it is complete
-            model = als.fit_als(
-                self.train_matrix, p.factors, p.regularization, p.iterations, p.alpha, p.seed
-            )
-            als.save_als(model, path)
-            self._done["als_model"] = als.load_als(path)
-        return self._done["als_model"]
+        p = self.parameters
+        names = ("factors", "regularization", "iterations", "alpha", "seed")
+        given = {name: getattr(p, name) for name in names}
+        return self._model(
+            "als",
+            given,
+            lambda: als.fit_als(self.train_matrix, **given),
+            lambda model, path: als.save_als(model, path, given),
+            lambda path: als.load_als(path, given),
+        )
 
     @property
     def personal_als(self) -> DataFrame:
@@ -170,7 +220,7 @@ class Stages:
 
         users = self.user_encoder.select("user_id")
         return self.table(
-            "personal_als", lambda: self._bucketed("personal_als", users, "user_id", build)
+            "personal_als", lambda: self._bucketed("personal_als", users, "user_id", build, "als")
         )
 
     @property
@@ -181,34 +231,30 @@ class Stages:
             return similar.similar_items(features, self.parameters.similar_k, only)
 
         keys = self.item_encoder.select("track_id")
-        return self.table("similar", lambda: self._bucketed("similar", keys, "track_id", build))
+        return self.table("similar", lambda: self._bucketed("similar", keys, "track_id", build, "als"))
+
+    def _ranking_inputs(self) -> tuple[DataFrame, ...]:
+        return self.personal_als, self.top_popular, self.catalog, self.train_events, self.test_events
 
     @property
-    def recommendations(self) -> DataFrame:
+    def ranker(self):
         p = self.parameters
+        names = ("sample_users", "ranker_iterations", "negatives", "seed")
+        given = {name: getattr(p, name) for name in names}
 
-        def build() -> DataFrame:
-            model, recs = ranking.run_ranking(
-                self.personal_als,
-                self.top_popular,
-                self.catalog,
-                self.train_events,
-                self.test_events,
-                p.n_recs,
-                p.sample_users,
-                p.ranker_iterations,
-                p.negatives,
-                p.seed,
+        def fit():
+            return ranking.train_ranker(
+                *self._ranking_inputs(), p.sample_users, p.ranker_iterations, p.negatives, p.seed
             )
-            ranking.save_ranker(model, f"{self.root}/models/ranker")
-            return recs
 
-        return self.table("recommendations", build)
+        return self._model("ranker", given, fit, ranking.save_ranker, ranking.load_ranker)
 
     @property
-    def ranker(self):
-        self.recommendations  # written together with the model
-        return ranking.load_ranker(f"{self.root}/models/ranker")
+    def recommendations(self) -> DataFrame:
+        return self.table(
+            "recommendations",
+            lambda: ranking.rank_all(self.ranker, *self._ranking_inputs(), self.parameters.n_recs),
+        )
 
     # evaluation: lists for the users of the test events
     @property
@@ -283,10 +329,12 @@ def run_batch(
     out_dir: str,
     parameters: Parameters | None = None,
     resume: bool = False,
+    publish_to: str | None = None,
 ) -> DataFrame:
     """Raw tables to recommendations and their evaluation; returns a report of written tables.
 
-    ``resume`` goes on from the tables of a run that was cut short.
+    ``resume`` goes on from the tables and models of a run that was cut short. ``publish_to`` publishes the
+    prepared data and the recommendations there when all is done, in one step (``tables.published_table``).
     """
     tracks, names, interactions = tables.load_raw(spark, raw_dir)
     stages = Stages(spark, out_dir, tracks, names, interactions, parameters or Parameters(), resume)
@@ -294,6 +342,11 @@ def run_batch(
     stages.recommendations
     stages.test_matrix
     stages.evaluate_all()
+    if publish_to is not None:
+        done = {("data", name): tables.existing_table(spark, out_dir, name) for name in tables.PREPROCESSED_TABLES}
+        names = ("top_popular", "personal_als", "similar", "recommendations")
+        done |= {("recommendations", name): tables.existing_table(spark, out_dir, name) for name in names}
+        tables.publish_run(spark, publish_to, done, stages.record)
     return tables.step_report(
         spark,
         out_dir,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from crossfade.schemas import SCHEMAS
 from crossfade.session import shared_dir
+from crossfade.sources import manifest
 
 RAW_TABLES = ("tracks", "catalog_names", "interactions")
 PREPROCESSED_TABLES = ("items", "tracks_catalog_clean", "events")
@@ -79,17 +80,9 @@ def write_table(df: DataFrame, root: str, table: str) -> DataFrame:
 
 def existing_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The table if it was written completely, which its ``_SUCCESS`` file shows, else None."""
-    path = f"{root}/{table}.parquet"
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if "_SUCCESS" not in manifest.folders(spark, f"{root}/{table}.parquet"):
         return None
-    return spark.read.parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file, in whatever store the path names."""
-    context = spark.sparkContext
-    file = context._jvm.org.apache.hadoop.fs.Path(path)
-    return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
+    return spark.read.parquet(f"{root}/{table}.parquet")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -100,15 +93,51 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+AREAS = ("data", "recommendations")
+
+
+def _check_area(area: str) -> None:
+    if area not in AREAS:
+        raise ValueError(f"unknown area {area!r}, use 'data' or 'recommendations'")
+
+
 def publish(df: DataFrame, root: str, area: str, table: str) -> str:
     """Write under one of the two published prefixes; ``root`` may be any Hadoop URI."""
-    if area not in ("data", "recommendations"):
-        raise ValueError(f"unknown area {area!r}, use 'data' or 'recommendations'")
+    _check_area(area)
     path = f"{root}/recsys/{area}/{table}.parquet"
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def publish_run(
+    spark: SparkSession, root: str, published: dict[tuple[str, str], DataFrame], about: dict | None = None
+) -> int:
+    """Publish the tables of a run, {(area, table): rows}, all at once; returns the number of the record.
+
+    Every table goes to a folder of its own below its prefix. Readers (``published_table``) see them when
+    one commit record, written last, names them; until then they see the run before as a whole. What an earlier run
+    published and this one does not stays readable. ``about`` (parameters, models) is kept with the record.
+    """
+    for area, _ in published:
+        _check_area(area)
+    number, before = manifest.latest(spark, f"{root}/recsys")
+    places = dict(before.get("tables", {}))
+    for (area, table), df in published.items():
+        place = f"{area}/{table}/{uuid.uuid4().hex}.parquet"
+        df.write.parquet(f"{root}/recsys/{place}")
+        places[f"{area}/{table}"] = place
+    return manifest.commit(spark, f"{root}/recsys", {"tables": places, "about": about or {}}, number)
+
+
+def published_table(spark: SparkSession, root: str, area: str, table: str) -> DataFrame:
+    """A table as the last published run has it."""
+    _check_area(area)
+    place = manifest.latest(spark, f"{root}/recsys")[1].get("tables", {}).get(f"{area}/{table}")
+    if place is None:
+        raise FileNotFoundError(f"table {table!r} is not published under {root}/recsys/{area}")
+    return _read_parquet(spark, f"{root}/recsys/{place}", table)
+
+
 def step_report(spark: SparkSession, root: str, tables: Iterable[str]) -> DataFrame:
     """Rows and columns of each table a step had to write; a missing table is an error."""
     report = None
@@ -132,25 +161,24 @@ def write_in_buckets(
     path: str,
     buckets: int = 28,
     per_run: int = 4,
+    made_with: dict | None = None,
 ) -> DataFrame:
     """Build a large keyed result in key buckets, so that a failed run goes on where it stopped.
 
     ``build`` maps a slice of ``keys`` to result rows. Every run writes ``per_run`` buckets at a
-    time and then notes them in a ledger table; buckets in the ledger are skipped. A run cut short
-    before its ledger entry is simply written again (overwritten, not appended). The ledger holds the key
-    and the number of buckets; going on with others is an error, since rows would be lost or doubled.
+    time and then notes them in a commit record; buckets in the last record are skipped. A run cut short
+    before its record is simply written again (overwritten, not appended). The record holds the key,
+    the number of buckets and ``made_with`` (parameters, the model's id); going on with others is an error, since
+    rows would be lost, doubled or come from two models.
     """
     spark = keys.sparkSession
-    ledger_path = f"{path}/_ledger"
+    about = {"key": key, "buckets": buckets, "made_with": made_with or {}}
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    ledger = "bucket int, buckets int, key string"
-    try:
-        entries = spark.read.schema(ledger).parquet(ledger_path).collect()
-    except AnalysisException:
-        entries = []
-    if any((row.buckets, row.key) != (buckets, key) for row in entries):
-        raise ValueError(f"{path} was begun with another key or number of buckets")
-    finished = {row.bucket for row in entries}
+    number, record = manifest.latest(spark, path)
+    changed = sorted(name for name in about if record and record[name] != about[name])
+    if changed:
+        raise ValueError(f"{path} was begun with other {', '.join(changed)}")
+    finished = set(record.get("finished", []))
     todo = [b for b in range(buckets) if b not in finished]
     for start in range(0, len(todo), per_run):
         part = todo[start : start + per_run]
@@ -158,9 +186,8 @@ def write_in_buckets(
         rows.withColumn("bucket", bucket).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("bucket").parquet(f"{path}/rows")
-        spark.createDataFrame([(b, buckets, key) for b in part], ledger).coalesce(1).write.mode(
-            "append"
-        ).parquet(ledger_path)
+        finished.update(part)
+        number = manifest.commit(spark, path, about | {"finished": sorted(finished)}, number)
     return spark.read.parquet(f"{path}/rows").drop("bucket")
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from crossfade.operators import reports
-from crossfade.sources import tables
+from crossfade.sources import manifest, tables
 
 
 @pytest.fixture
@@ -86,3 +86,53 @@ def test_buckets_refuse_another_count(spark, folder):
     assert tables.write_in_buckets(keys, "k", lambda part: part, f"{folder}/t", buckets=6).count() == 50
     with pytest.raises(ValueError, match="buckets"):
         tables.write_in_buckets(keys, "k", lambda part: part, f"{folder}/t", buckets=4)
+
+
+def test_buckets_refuse_another_model(spark, folder):
+    keys = spark.range(50).withColumnRenamed("id", "k")
+    calls = []
+
+    def build(part):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return part
+
+    with pytest.raises(RuntimeError):
+        tables.write_in_buckets(keys, "k", build, f"{folder}/t", 6, 2, {"model": "a"})
+    with pytest.raises(ValueError, match="made_with"):
+        tables.write_in_buckets(keys, "k", build, f"{folder}/t", 6, 2, {"model": "b"})
+    assert tables.write_in_buckets(keys, "k", build, f"{folder}/t", 6, 2, {"model": "a"}).count() == 50
+
+
+def test_a_run_is_published_at_once(spark, events, folder):
+    def df(n):
+        return spark.range(n)
+
+    with pytest.raises(FileNotFoundError):
+        tables.published_table(spark, folder, "data", "items")
+    tables.publish_run(spark, folder, {("data", "items"): df(3), ("recommendations", "similar"): df(4)}, {"run": "one"})
+    seen = tables.published_table(spark, folder, "data", "items")
+    broken = spark.range(5).selectExpr("assert_true(id < 2) as x")
+    with pytest.raises(Exception):
+        tables.publish_run(spark, folder, {("data", "items"): df(30), ("recommendations", "similar"): broken})
+    counts = [tables.published_table(spark, folder, a, t).count() for a, t in (("data", "items"), ("recommendations", "similar"))]
+    assert counts == [3, 4]  # nothing of the broken run is seen
+    tables.publish_run(spark, folder, {("data", "items"): df(7)}, {"run": "two"})
+    assert tables.published_table(spark, folder, "data", "items").count() == 7
+    assert tables.published_table(spark, folder, "recommendations", "similar").count() == 4
+    assert seen.count() == 3  # who began with the run before still reads it
+    assert manifest.latest(spark, f"{folder}/recsys")[1]["about"] == {"run": "two"}
+    with pytest.raises(ValueError):
+        tables.publish_run(spark, folder, {("elsewhere", "items"): df(1)})
+
+
+def test_commits_do_not_overwrite_each_other(spark, folder):
+    assert manifest.latest(spark, folder) == (0, {})
+    assert manifest.commit(spark, folder, {"a": 1}, 0) == 1
+    with pytest.raises(RuntimeError, match="another writer"):
+        manifest.commit(spark, folder, {"a": 2}, 0)
+    assert manifest.latest(spark, folder) == (1, {"a": 1})
+    assert manifest.commit(spark, folder, {"a": "ü"}, 1) == 2
+    assert manifest.latest(spark, folder) == (2, {"a": "ü"}) and manifest.versions(spark, folder) == [1, 2]
+    assert manifest.fingerprint({"a": 1, "b": 2}) == manifest.fingerprint({"b": 2, "a": 1}) != manifest.fingerprint({"a": 1})
