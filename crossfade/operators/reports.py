@@ -1,13 +1,11 @@
 """Reports on the prepared tables and profiles of any table."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crossfade.functions.scaling import scalar
-from crossfade.operators.ordering import exact_quantiles
+from crossfade.operators.ordering import histogram_quantiles, value_histogram
+from crossfade.sources.tables import materialize
 
 
 def top_items_report(events: DataFrame, catalog: DataFrame, n: int = 10) -> DataFrame:
@@ -72,6 +70,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n"))
 
 
+def _as_text(df: DataFrame) -> dict[str, Column]:
+    return {name: F.col(f"`{name}`").cast("string") for name in df.columns}
+
+
+def all_value_counts(df: DataFrame) -> DataFrame:
+    """(column_name, value, n): how often each value of each column occurs, as text, null included, in one pass.
+    Equal values are counted before the shuffle, which deals rows by column and value."""
+    return value_histogram(df, _as_text(df))
+
+
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn(
         "n_columns", F.lit(len(df.columns)).cast("long")
@@ -84,49 +92,73 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """Per numeric column: non-null count, nulls, mean, std, min, exact quartiles, max."""
+    """Per numeric column: non-null count, nulls, mean, std, min, exact quartiles, max.
+
+    One pass over ``df`` makes the histogram of all numeric columns, which is written; everything
+    else comes from its distinct values. Runs jobs.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not numeric:
         raise ValueError("no numeric column")
-
-    def profile(name: str) -> DataFrame:
-        x = F.col(name).cast("double")
-        quartiles = exact_quantiles(df, x, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-        return (
-            df.agg(
-                F.count(name).alias("n"),
-                F.count_if(F.col(name).isNull()).alias("n_null"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            )
-            .withColumns({name: scalar(quartiles, name) for name in quartiles.columns})
-            .select(
-                F.lit(name).alias("column_name"),
-                "n", "n_null", "mean", "std", "min", "p25", "p50", "p75", "max",
-            )
+    columns = {name: F.col(f"`{name}`").cast("double") for name in numeric}
+    histogram = materialize(value_histogram(df, columns))
+    filled = histogram.filter(F.col("value").isNotNull())
+    times = F.when(F.col("value").isNotNull(), F.col("n"))
+    basics = histogram.groupBy("column_name").agg(
+        F.sum(times).alias("_n"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("_null"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum(times)).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    levels = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = histogram_quantiles(filled, list(levels.values())).groupBy("column_name").agg(
+        *(F.min(F.when(F.col("q") == q, F.col("value"))).alias(name) for name, q in levels.items())
+    )
+    # one row for each column on the broadcast sides
+    spread = (
+        filled.join(F.broadcast(basics.select("column_name", "_n", "mean")), "column_name")
+        .groupBy("column_name")
+        .agg(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2).alias("_squares"), F.first("_n").alias("_m"))
+        .select(
+            "column_name",
+            F.when(F.col("_m") > 1, F.sqrt(F.col("_squares") / (F.col("_m") - 1))).alias("std"),
         )
-
-    return reduce(DataFrame.unionByName, (profile(name) for name in numeric))
+    )
+    names = df.sparkSession.createDataFrame([(name,) for name in numeric], "column_name string")
+    for part in (basics, spread, quartiles):
+        names = names.join(F.broadcast(part), "column_name", "left")
+    zero = F.lit(0).cast("long")
+    return names.select(
+        "column_name", F.coalesce("_n", zero).alias("n"), F.coalesce("_null", zero).alias("n_null"),
+        "mean", "std", "min", "p25", "p50", "p75", "max",
+    )
 
 
-def table_profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows and nulls."""
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    stats = df.agg(
-        F.count("*").alias("_rows"),
-        *(F.count_if(F.col(name).isNull()).alias(f"{name}_nulls") for name in df.columns),
-    )
-    entries = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(types[name]).alias("column_type"),
-                F.col("_rows").alias("n_rows"),
-                F.col(f"{name}_nulls").alias("n_null"),
-            )
-            for name in df.columns
+def table_profile(df: DataFrame, exact: bool = True) -> DataFrame:
+    """One row per column: type, rows, nulls and distinct values (without null).
+
+    Distinct values are counted in the histogram of all columns, in one pass. ``exact=False`` instead keeps a
+    HyperLogLog sketch per column and task, of a few kilobytes, so that no value is shuffled; counts of many
+    values are then off by a percent or two.
+    """
+    types = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    frame = df.sparkSession.createDataFrame(types, "column_name string, column_type string")
+    is_null = F.col("value").isNull()
+    if exact:
+        counts = value_histogram(df, _as_text(df)).groupBy("column_name").agg(
+            F.sum("n").alias("n_rows"),
+            F.sum(F.when(is_null, F.col("n")).otherwise(0)).alias("n_null"),
+            F.count("value").alias("n_distinct"),
+        )
+    else:
+        cells = [F.struct(F.lit(name).alias("column_name"), col.alias("value")) for name, col in _as_text(df).items()]
+        counts = df.select(F.inline(F.array(*cells))).groupBy("column_name").agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(is_null).alias("n_null"),
+            F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg("value")), F.lit(0).cast("long")).alias("n_distinct"),
         )
+    zero = F.lit(0).cast("long")
+    return frame.join(F.broadcast(counts), "column_name", "left").select(
+        "column_name", "column_type", *(F.coalesce(name, zero).alias(name) for name in ("n_rows", "n_null", "n_distinct"))
     )
-    return stats.select(F.inline(entries))

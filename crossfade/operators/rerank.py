@@ -1,42 +1,55 @@
 """Greedy re-ranking for relevance, popularity, novelty and genre diversity."""
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from crossfade.functions.scaling import scalar
 
 
-def _greedy(n: int, bonus: float):
-    def pick(scores, ids, genres, alone) -> list[tuple[int, float]]:
-        scores, gains = scores.copy(), np.ones(len(scores), dtype=bool)
-        is_open = np.ones(len(scores), dtype=bool)
-        picked = []
-        for _ in range(min(n, len(scores))):
-            scores[gains & is_open] += bonus
-            best = np.flatnonzero(is_open & (scores == scores[is_open].max()))
-            best = best[ids[best].argmin()]
-            is_open[best] = False
-            if not alone[best]:
-                gains &= alone | (genres != genres[best])
-            picked.append((ids[best], scores[best]))
-        return picked
-
-    def pick_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for users in batches:
-            columns = [users[name] for name in ("user_id", "bases", "tracks", "genres", "alone")]
-            rows = [
-                (user, track, score, place)
-                for user, *lists in zip(*columns)
-                for place, (track, score) in enumerate(pick(*lists), 1)
-            ]
-            yield pd.DataFrame(rows, columns=["user_id", "track_id", "score", "rank"])
-
-    return pick_all
+_OPEN = "array<struct<score:double,track_id:bigint,genre_id:bigint,gains:boolean>>"
+_PICKED = "array<struct<track_id:bigint,score:double>>"
+
+
+def _given(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _greedy(rows: Column, n: int, bonus: float) -> Column:
+    """The picks, in order, from an array of open tracks: a fold whose state is what is open and what is picked."""
+
+    def state(still_open: Column, picked: Column) -> Column:
+        return F.struct(still_open.alias("open"), picked.alias("picked"))
+
+    def row(r: Column, score: Column, gains: Column) -> Column:
+        return F.struct(score.alias("score"), r["track_id"].alias("track_id"), r["genre_id"].alias("genre_id"), gains.alias("gains"))
+
+    def without(now: Column, grown: Column, best: Column) -> Column:
+        other = F.filter(grown, lambda r: r["track_id"] != best["track_id"])
+        # a track without genre ends nobody's bonus and never loses its own
+        alike = lambda r: F.coalesce(r["genre_id"] == best["genre_id"], F.lit(False))
+        left = F.transform(other, lambda r: row(r, r["score"], r["gains"] & ~alike(r)))
+        pick = F.struct(best["track_id"].alias("track_id"), best["score"].alias("score"))
+        return state(left, F.concat(now["picked"], F.array(pick)))
+
+    def first(grown: Column) -> Column:
+        """The best score, the lowest id of equal ones."""
+        key = F.transform(grown, lambda r: F.struct(r["score"].alias("s"), (-r["track_id"]).alias("i"), r.alias("r")))
+        return F.array_max(key)["r"]
+
+    def round_of(now: Column, _: Column) -> Column:
+        gained = F.transform(
+            now["open"], lambda r: row(r, F.when(r["gains"], r["score"] + F.lit(bonus)).otherwise(r["score"]), r["gains"])
+        )
+        picked = _given(gained, lambda grown: _given(first(grown), lambda best: without(now, grown, best)))
+        return F.when(F.size(now["open"]) == 0, now).otherwise(picked)
+
+    nothing = F.array().cast(_PICKED)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(n)), state(rows.cast(_OPEN), nothing), round_of)
+    return end["picked"]
 
 
 def rerank_multi_objective(
@@ -87,38 +100,19 @@ def rerank_multi_objective(
     )
     best_first = [F.desc("base"), F.col("track_id")]
     branch = W.partitionBy("user_id", "genre_id", "_alone").orderBy(*best_first)
-    heads = W.partitionBy("user_id").orderBy(*best_first)
-    shortlist = base.withColumn("_place", F.row_number().over(branch)).filter(F.col("_place") <= n)
-    branches = (
-        shortlist.filter(F.col("_place") == 1)
-        .withColumn("_branch", F.row_number().over(heads))
-        .filter(F.col("_branch") <= n)
-        .select("user_id", "genre_id", "_alone")
-    )
-    same_branch = (
-        (F.col("s.user_id") == F.col("b.user_id"))
-        & F.col("s.genre_id").eqNullSafe(F.col("b.genre_id"))
-        & F.col("s._alone").eqNullSafe(F.col("b._alone"))
-    )
-    row = F.struct(
-        "base",
-        "track_id",
-        F.coalesce("genre_id", F.lit(0).cast("long")).alias("genre"),
-        F.col("genre_id").isNull().alias("alone"),
+    upto_here = branch.rowsBetween(W.unboundedPreceding, W.currentRow)
+    shortlist = (
+        base.withColumn("_place", F.row_number().over(branch))
+        .withColumn("_head", F.first(F.struct("base", "track_id")).over(upto_here))
+        .filter(F.col("_place") <= n)
     )
+    heads = W.partitionBy("user_id").orderBy(F.desc("_head.base"), F.col("_head.track_id"))
+    row = F.struct(F.col("base").alias("score"), "track_id", "genre_id", F.lit(True).alias("gains"))
     return (
-        shortlist.alias("s")
-        .join(branches.alias("b"), same_branch, "left_semi")
+        shortlist.withColumn("_branch", F.dense_rank().over(heads))
+        .filter(F.col("_branch") <= n)
         .groupBy("user_id")
         .agg(F.collect_list(row).alias("_rows"))
-        .select(
-            "user_id",
-            F.col("_rows.base").alias("bases"),
-            F.col("_rows.track_id").alias("tracks"),
-            F.col("_rows.genre").alias("genres"),
-            F.col("_rows.alone").alias("alone"),
-        )
-        .mapInPandas(
-            _greedy(n, diversity_weight), "user_id long, track_id long, score double, rank int"
-        )
+        .select("user_id", F.posexplode(_greedy(F.col("_rows"), n, diversity_weight)).alias("_at", "_pick"))
+        .select("user_id", "_pick.track_id", "_pick.score", (F.col("_at") + 1).alias("rank"))
     )

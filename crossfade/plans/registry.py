@@ -761,6 +761,12 @@ def value_counts(st, spark, sf_dir):
     return reports.value_counts(st.interactions, "track_seq")
 
 
+@query
+def value_counts_all(st, spark, sf_dir):
+    """Every value of every column of the interactions."""
+    return reports.all_value_counts(st.interactions)
+
+
 @query
 def describe_events(st, spark, sf_dir):
     return reports.describe(st.events)

@@ -342,7 +342,7 @@ def _profile() -> str:
     names = ["track_clean", "artist_clean", "album_clean", "genre_clean"]
     return " UNION ALL ".join(
         f"""SELECT '{col}' AS column_name, '{'bigint' if col in ids else 'string'}' AS column_type,
-        count(*) AS n_rows, count(*) - count({col}) AS n_null FROM items"""
+        count(*) AS n_rows, count(*) - count({col}) AS n_null, count(DISTINCT {col}) AS n_distinct FROM items"""
         for col in ids + names
     )
 
@@ -490,6 +490,10 @@ _QUERIES = {
     "null_counts": """SELECT count(*) - count(track_id) AS track_id, count(*) - count(album_id) AS album_id,
         count(*) - count(artist_id) AS artist_id, count(*) - count(genre_id) AS genre_id FROM exploded""",
     "value_counts": "SELECT track_seq, count(*) AS n FROM interactions GROUP BY 1",
+    "value_counts_all": " UNION ALL ".join(
+        f"SELECT '{col}' AS column_name, CAST({col} AS VARCHAR) AS value, count(*) AS n FROM interactions GROUP BY ALL"
+        for col in ("user_id", "track_id", "track_seq", "started_at")
+    ),
     "describe_events": _describe(),
     "table_profile": _profile(),
 }

@@ -68,6 +68,40 @@ def test_profiles(spark):
     assert reports.shape(df).first().asDict() == {"n_rows": 4, "n_columns": 2}
     assert [(r.column_name, r.n_null) for r in reports.table_profile(df).collect()] == [("n", 0), ("s", 1)]
     assert reports.column_types(df).count() == 2
+    for exact in (True, False):
+        assert [tuple(r) for r in reports.table_profile(df, exact).collect()] == [("n", "int", 4, 0, 4), ("s", "string", 4, 1, 2)]
+    found = {(r.column_name, r.value): r.n for r in reports.all_value_counts(df).collect()}
+    assert found == {("n", "1"): 1, ("n", "2"): 1, ("n", "3"): 1, ("n", "10"): 1, ("s", "a"): 2, ("s", "b"): 1, ("s", None): 1}
+
+
+def test_profiles_of_nulls_and_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.5, None), (None, 2.5, 7)], "a int, `b.c` double, d long")
+    rows = {r.column_name: r for r in reports.describe(df).collect()}
+    assert (rows["a"].n, rows["a"].n_null, rows["a"]["mean"], rows["a"].p50) == (0, 2, None, None)
+    assert (rows["b.c"]["mean"], round(rows["b.c"]["std"], 6), rows["d"]["std"]) == (2.0, 0.707107, None)
+    none = reports.describe(df.limit(0)).collect()
+    assert [(r.column_name, r.n, r.n_null, r["max"]) for r in none] == [(c, 0, 0, None) for c in df.columns]
+    for exact in (True, False):
+        assert [tuple(r)[2:] for r in reports.table_profile(df.limit(0), exact).collect()] == [(0, 0, 0)] * 3
+    assert reports.all_value_counts(df.limit(0)).collect() == []
+
+
+def test_sketched_distinct_counts(spark):
+    row = reports.table_profile(spark.range(50_000).selectExpr("id % 20000 as x"), exact=False).first()
+    assert abs(row.n_distinct - 20_000) < 0.04 * 20_000
+
+
+def test_describe_reads_its_input_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.range(100).selectExpr("id a", "id % 7 b", "id / 3 c").mapInPandas(seen, "a long, b long, c double")
+    assert {r.column_name: r.p50 for r in reports.describe(df).collect()}["b"] == 3.0
+    assert reads.value == 100
 
 
 def test_partial_table_is_not_resumed(spark, folder):
