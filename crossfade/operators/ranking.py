@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -18,6 +18,7 @@ from crossfade.session import shared_dir
 from crossfade.sources.tables import materialize
 
 PAIR = ["user_id", "track_id"]
+_TOP = "array<struct<key:double,track_id:bigint,popularity_score:double>>"
 TRACK_FEATURES = ["genre_popularity", "artist_popularity", "track_group_size"]
 FEATURES = ["als_score", "popularity_score", *TRACK_FEATURES]
 
@@ -82,6 +83,83 @@ def merge_candidates(
     )
 
 
+def candidate_lists(personal: DataFrame, top: DataFrame, n: int = 100) -> DataFrame:
+    """One row per user of ``personal``: ``candidates``, an array of (track_id, als_score, popularity_score) with the
+    user's personal tracks and the n top tracks, each once; a missing score is 0.
+
+    The same rows as ``merge_candidates`` of both sources, but the top tracks are a constant that array
+    functions merge in: only the personal rows are shuffled, by user. Personal lists hold at most k tracks.
+    """
+    scaled = divide_by_max(first_n(top.select("track_id", "popularity_score"), n), "popularity_score")
+    own = F.collect_list(F.struct("track_id", F.col("score").cast("double").alias("als_score")))
+    popular = F.map_from_arrays(F.col("_top.track_id"), F.col("_top.popularity_score"))
+    zero = F.lit(0.0)
+
+    def entry(track: Column, als: Column, popularity: Column) -> Column:
+        return F.struct(track.alias("track_id"), als.alias("als_score"), popularity.alias("popularity_score"))
+
+    mine = F.transform(
+        "_own", lambda a: entry(a["track_id"], a["als_score"], F.coalesce(F.try_element_at("_popular", a["track_id"]), zero))
+    )
+    others = F.filter("_top", lambda p: ~F.array_contains("_tracks", p["track_id"]))
+    others = F.transform(others, lambda p: entry(p["track_id"], zero, p["popularity_score"]))
+    return (
+        personal.groupBy("user_id")
+        .agg(own.alias("_own"))
+        .withColumn("_top", F.coalesce(as_ranked_list(scaled), F.array().cast(_TOP)))
+        .withColumn("_tracks", F.col("_own.track_id"))
+        .withColumn("_popular", popular)
+        .select("user_id", F.concat(mine, others).alias("candidates"))
+    )
+
+
+def label_lists(lists: DataFrame, events: DataFrame) -> DataFrame:
+    """Adds ``heard``: which of a user's candidates the user has events of. Events meet the list of their user, and
+    only hits are collected, so it is no longer than the list however many events there are."""
+    tracks = lists.select("user_id", F.col("candidates.track_id").alias("_tracks"))
+    hits = (
+        events.select(*PAIR)
+        .join(tracks, "user_id")
+        .filter(F.array_contains("_tracks", F.col("track_id")))
+        .groupBy("user_id")
+        .agg(F.collect_set("track_id").alias("heard"))
+    )
+    empty = F.array().cast("array<bigint>")
+    return lists.join(hits, "user_id", "left").withColumn("heard", F.coalesce("heard", empty))
+
+
+def lists_with_positive(lists: DataFrame) -> DataFrame:
+    return lists.filter(F.size("heard") > 0)
+
+
+def sample_lists(lists: DataFrame, multiplier: int = 4, seed: int = 42) -> DataFrame:
+    """The lists of users with a positive, cut to all positives and at most ``multiplier`` negatives for each: the
+    same choice as ``sample_negatives`` makes, without a shuffle."""
+    is_heard = lambda c: F.array_contains("heard", c["track_id"])
+    draw = lambda c: F.md5(F.concat_ws(":", F.col("user_id").cast("string"), c["track_id"].cast("string"), F.lit(str(seed))))
+    negatives = F.filter("candidates", lambda c: ~is_heard(c))
+    drawn = F.array_sort(
+        F.transform(negatives, lambda c: F.struct(draw(c).alias("draw"), c["track_id"].alias("track_id"), c.alias("c")))
+    )
+    positives = F.filter("candidates", is_heard)
+    some = F.slice(F.col("_drawn.c"), 1, F.size(positives) * multiplier)
+    return (
+        lists_with_positive(lists)
+        .withColumn("_drawn", drawn)
+        .withColumn("candidates", F.concat(positives, some))
+        .drop("_drawn")
+    )
+
+
+def explode_lists(lists: DataFrame) -> DataFrame:
+    """(user_id, track_id, als_score, popularity_score), and ``target`` if the lists are labelled."""
+    columns = ["user_id", F.inline("candidates")]
+    if "heard" not in lists.columns:
+        return lists.select(*columns)
+    rows = lists.select(*columns, "heard")
+    return rows.withColumn("target", F.array_contains("heard", F.col("track_id")).cast("byte")).drop("heard")
+
+
 def add_track_features(candidates: DataFrame, features: DataFrame) -> DataFrame:
     filled = {name: F.coalesce(name, F.lit(0.0)) for name in TRACK_FEATURES}
     return candidates.join(features, "track_id", "left").withColumns(filled)
@@ -106,7 +184,7 @@ def sample_negatives(candidates: DataFrame, multiplier: int = 4, seed: int = 42)
 
     Negatives are taken in the order of a seeded hash of the pair. A user with very many negatives
     is cut into slices along that hash, each ranked in its own task. ``candidates`` is read four
-    times, so pass a table or a materialized frame.
+    times, so pass a table or a materialized frame. Candidates that are lists: ``sample_lists``.
     """
     per_user = (
         candidates.groupBy("user_id")
@@ -208,22 +286,34 @@ def scale_candidates(candidates: DataFrame, score: str) -> DataFrame:
     return min_max_scale(candidates, score)
 
 
-def labelled_candidates(
+def labelled_lists(
     personal: DataFrame,
     top: DataFrame,
-    features: DataFrame,
     label_events: DataFrame,
     sample_users: int | None = 10_000,
     seed: int = 42,
     only_positive_users: bool = True,
 ) -> DataFrame:
-    """Candidates of the sampled users with features and labels, ready for training."""
-    users = personal.select("user_id").distinct()
+    """Candidate lists of the sampled users with what they heard of them."""
     if sample_users:
-        users = sample_keys(users, "user_id", sample_users, seed)
-    merged = merge_candidates(als_candidates(personal), popular_candidates(users, top), users)
-    labelled = add_labels(add_track_features(merged, features), label_events)
-    return users_with_positive(labelled) if only_positive_users else labelled
+        users = sample_keys(personal, "user_id", sample_users, seed)
+        personal = personal.join(users, "user_id", "left_semi")
+    lists = label_lists(candidate_lists(personal, top), label_events)
+    return lists_with_positive(lists) if only_positive_users else lists
+
+
+def training_rows(
+    personal: DataFrame,
+    top: DataFrame,
+    features: DataFrame,
+    label_events: DataFrame,
+    sample_users: int | None = 10_000,
+    multiplier: int = 4,
+    seed: int = 42,
+) -> DataFrame:
+    """What the ranker learns from: positives and sampled negatives; only these rows meet the track features."""
+    lists = labelled_lists(personal, top, label_events, sample_users, seed)
+    return add_track_features(explode_lists(sample_lists(lists, multiplier, seed)), features)
 
 
 def train_ranker(
@@ -236,18 +326,15 @@ def train_ranker(
     iterations: int = 100,
     multiplier: int = 4,
     seed: int = 42,
-    only_positive_users: bool = True,
 ) -> PipelineModel:
-    """The ranker, learnt from the candidates of at most ``sample_users`` users of ``personal`` and, with
-    ``only_positive_users``, of those only who have a positive.
+    """The ranker, learnt from the candidates of at most ``sample_users`` users of ``personal``. Users without a
+    positive give no rows, since negatives are drawn for positives.
 
     With the usual test events as labels the ranker sees the events it may later be judged on; pass
     other label events to keep them apart.
     """
-    candidates = labelled_candidates(
-        personal, top, track_features(catalog, train_events), label_events, sample_users, seed, only_positive_users
-    )
-    train = materialize(sample_negatives(materialize(candidates), multiplier, seed))
+    features = track_features(catalog, train_events)
+    train = materialize(training_rows(personal, top, features, label_events, sample_users, multiplier, seed))
     return fit_ranker(train, iterations=iterations, seed=seed)
 
 
@@ -261,11 +348,9 @@ def rank_all(
     k: int = 10,
 ) -> DataFrame:
     """The top k for every user of ``personal``; ``target`` is shown, not used."""
-    users = personal.select("user_id").distinct()
-    merged = merge_candidates(als_candidates(personal), popular_candidates(users, top), users)
     features = materialize(track_features(catalog, train_events))
-    scored = add_labels(add_track_features(merged, features), label_events)
-    return top_k_per_user(predict_and_rank(model, scored), k)
+    rows = explode_lists(label_lists(candidate_lists(personal, top), label_events))
+    return top_k_per_user(predict_and_rank(model, add_track_features(rows, features)), k)
 
 
 def run_ranking(
@@ -279,12 +364,11 @@ def run_ranking(
     iterations: int = 100,
     multiplier: int = 4,
     seed: int = 42,
-    only_positive_users: bool = True,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Train the ranker and return it with the top k for every user of ``personal``: ``sample_users`` and
-    ``only_positive_users`` do not decide who gets a list."""
+    """Train the ranker and return it with the top k for every user of ``personal``: ``sample_users`` does
+    not decide who gets a list."""
     inputs = (personal, top, catalog, train_events, label_events)
-    model = train_ranker(*inputs, sample_users, iterations, multiplier, seed, only_positive_users)
+    model = train_ranker(*inputs, sample_users, iterations, multiplier, seed)
     return model, rank_all(model, *inputs, k)
 
 

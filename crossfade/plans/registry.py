@@ -366,18 +366,16 @@ def _personal(spark, sf_dir, k=K):
     return demo.personal_scores(spark, sf_dir, k)
 
 
-def _merged(st, spark, sf_dir):
-    personal = _personal(spark, sf_dir)
-    users = personal.select("user_id")
-    return ranking.merge_candidates(
-        ranking.als_candidates(personal),
-        ranking.popular_candidates(users, st.top_popular),
-        users,
-    )
+def _lists(st, spark, sf_dir):
+    return ranking.candidate_lists(_personal(spark, sf_dir), st.top_popular)
 
 
-def _labelled(st, spark, sf_dir):
-    return ranking.add_labels(_merged(st, spark, sf_dir), st.test_events)
+def _labelled_lists(st, spark, sf_dir):
+    return ranking.label_lists(_lists(st, spark, sf_dir), st.test_events)
+
+
+def _merged(st, spark, sf_dir):
+    return ranking.explode_lists(_lists(st, spark, sf_dir))
 
 
 @query
@@ -410,17 +408,26 @@ def candidate_features(st, spark, sf_dir):
 
 @query
 def labels(st, spark, sf_dir):
-    return _labelled(st, spark, sf_dir)
+    return ranking.explode_lists(_labelled_lists(st, spark, sf_dir))
 
 
 @query
 def users_with_positive(st, spark, sf_dir):
-    return ranking.users_with_positive(_labelled(st, spark, sf_dir))
+    """Users with a heard candidate: how many candidates each has, and how many of them are heard."""
+    lists = ranking.lists_with_positive(_labelled_lists(st, spark, sf_dir))
+    return lists.select("user_id", F.size("candidates").alias("n_candidates"), F.size("heard").alias("n_positives"))
 
 
 @query
 def sample_negatives(st, spark, sf_dir):
-    return ranking.sample_negatives(tables.materialize(_labelled(st, spark, sf_dir)))
+    return ranking.explode_lists(ranking.sample_lists(_labelled_lists(st, spark, sf_dir)))
+
+
+@query
+def sample_negatives_of_rows(st, spark, sf_dir):
+    """The same sample from rows, for users of any length."""
+    rows = ranking.explode_lists(_labelled_lists(st, spark, sf_dir))
+    return ranking.sample_negatives(tables.materialize(rows))
 
 
 @query
@@ -485,13 +492,8 @@ def als_similar(st, spark, sf_dir):
 @query
 def ranker_training_data(st, spark, sf_dir):
     """Training rows of the ranker on the learnt candidates."""
-    candidates = ranking.labelled_candidates(
-        st.personal_als,
-        st.top_popular,
-        ranking.track_features(st.catalog, st.train_events),
-        st.test_events,
-    )
-    return ranking.sample_negatives(tables.materialize(candidates))
+    features = ranking.track_features(st.catalog, st.train_events)
+    return ranking.training_rows(st.personal_als, st.top_popular, features, st.test_events)
 
 
 @query

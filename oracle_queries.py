@@ -430,9 +430,8 @@ _QUERIES = {
         FROM personal p LEFT JOIN features f USING (track_id)""",
     "labels": f"""SELECT user_id, track_id, {_r('als_score', 'als_score')},
         {_r('popularity_score', 'popularity_score')}, target FROM labelled""",
-    "users_with_positive": f"""SELECT user_id, track_id, {_r('als_score', 'als_score')},
-        {_r('popularity_score', 'popularity_score')}, target FROM labelled
-        WHERE user_id IN (SELECT user_id FROM labelled WHERE target = 1)""",
+    "users_with_positive": """SELECT user_id, count(*) AS n_candidates, CAST(sum(target) AS BIGINT) AS n_positives
+        FROM labelled GROUP BY user_id HAVING sum(target) > 0""",
     "sample_negatives": f"""SELECT user_id, track_id, {_r('als_score', 'als_score')},
         {_r('popularity_score', 'popularity_score')}, target FROM (
             SELECT *, sum(target) OVER (PARTITION BY user_id) AS positives,
@@ -499,6 +498,9 @@ _QUERIES = {
 }
 
 
+_QUERIES["sample_negatives_of_rows"] = _QUERIES["sample_negatives"]
+
+
 def all_sql() -> dict[str, str]:
     sql = {name: _with(select) for name, select in _QUERIES.items()}
     sql["rerank_multi_objective"] = _rerank()

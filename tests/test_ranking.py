@@ -63,6 +63,37 @@ def test_sample_negatives_of_a_hot_user(spark, monkeypatch):
         assert found.filter("target = 1").count() == 41
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_candidate_lists_equal_rows(spark, seed):
+    rng = random.Random(seed)
+    personal = spark.createDataFrame(
+        [(u, t, rng.random(), k) for u in range(40) for k, t in enumerate(rng.sample(range(60), rng.randint(1, 6)), 1)],
+        "user_id long, track_id long, score float, rank int",
+    )
+    top = spark.createDataFrame([(t, rng.randint(1, 50)) for t in range(0, 60, 2)], "track_id long, popularity_score long")
+    heard = [(0 if rng.random() < 0.4 else rng.randint(0, 45), rng.randint(0, 70)) for _ in range(400)]
+    events = spark.createDataFrame(heard, "user_id long, track_id long")
+    lists = R.label_lists(R.candidate_lists(personal, top, 20), events)
+    users = personal.select("user_id")
+    plain = R.add_labels(R.merge_candidates(R.als_candidates(personal), R.popular_candidates(users, top, 20), users), events)
+    cols = ["user_id", "track_id", "als_score", "popularity_score", "target"]
+    assert dict(R.explode_lists(lists).dtypes) == dict(plain.dtypes)
+    assert rows(R.explode_lists(lists), *cols) == rows(plain, *cols)
+    positive = R.explode_lists(R.lists_with_positive(lists))
+    assert rows(positive, *cols) == rows(R.users_with_positive(plain), *cols)
+    assert rows(R.explode_lists(R.sample_lists(lists, 2, 7)), *cols) == rows(R.sample_negatives(plain, 2, 7), *cols)
+
+
+def test_candidate_lists_of_nothing(spark):
+    personal = spark.createDataFrame([(1, 5, 0.5)], "user_id long, track_id long, score double")
+    top = spark.createDataFrame([], "track_id long, popularity_score long")
+    events = spark.createDataFrame([], "user_id long, track_id long")
+    assert rows(R.explode_lists(R.candidate_lists(personal, top)), "*") == [(1, 5, 0.5, 0.0)]
+    lists = R.label_lists(R.candidate_lists(personal, top), events)
+    assert rows(R.explode_lists(lists), "target") == [(0,)] and R.sample_lists(lists).count() == 0
+    assert R.candidate_lists(personal.limit(0), top).count() == 0
+
+
 def greedy(recs, popularity, heard, genres, n, wd=0.3, wp=0.1, wn=0.2):
     """The definition, one user, round by round."""
     top = max(popularity.values())
