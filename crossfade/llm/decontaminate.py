@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfade.llm.tables import materialize, small_side
+from crossfade.llm.tables import materialize, small_side, without_keys
 from crossfade.llm.words import WORD, find_words, hash_text, ragged, text_blocks, word_hashes
 
 PHRASES_AT_ONCE = 50_000  # phrases looked up by one pass over the index
@@ -282,11 +282,11 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """The documents in which no ``width`` consecutive words of an item occur. Columns as given."""
+    """The documents in which no ``width`` consecutive words of an item occur, by row: rows of one id, or
+    without one, are judged by their own texts. Columns as given, whatever their names."""
     matched = exact_matches(build_index(docs), items, width)
-    hit = materialize(matched.where(F.size("spans") > 0).select(F.col("key").alias("__key")).distinct())
-    kept = docs.withColumn("__key", row_key()).join(small_side(hit), "__key", "left_anti")
-    return kept.select(docs.columns)
+    hit = materialize(matched.where(F.size("spans") > 0).select("key").distinct())
+    return without_keys(docs, row_key(), hit)
 
 
 def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20) -> DataFrame:

@@ -36,11 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfade.llm.tables import components, materialize, small_side
+from crossfade.llm.decontaminate import row_key
+from crossfade.llm.tables import components, fresh, materialize, small_side, without_keys
 from crossfade.llm.words import mix, shingle_sets
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the corpus
 _SLICE = 1 << 14
+_FANS = 64  # sketches are added in groups of so many, then the sums
 _PARTS = np.arange(8, dtype=np.uint64) << np.uint64(61)
 
 
@@ -54,19 +56,25 @@ def token_sketch(docs: DataFrame, width: int) -> np.ndarray:
             for tokens in shingle_sets(batch.column(0), width):
                 np.add.at(counts, _bucket(tokens), 1)
         slices = [i for i in range(0, len(counts), _SLICE) if counts[i : i + _SLICE].any()]
+        fan = np.full(len(slices), TaskContext.get().partitionId() // _FANS)
         yield pa.record_batch(
-            {"slice": pa.array(slices, pa.int32()), "counts": pa.array([counts[i : i + _SLICE].tobytes() for i in slices], pa.binary())}
+            {"fan": pa.array(fan, pa.int32()), "slice": pa.array(slices, pa.int32()),
+             "counts": pa.array([counts[i : i + _SLICE].tobytes() for i in slices], pa.binary())}
         )
 
-    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def merge(table: pa.Table) -> pa.Table:
         total = np.zeros(_SLICE, np.uint64)
         for part in table.column("counts"):
             total += np.frombuffer(part.as_buffer(), np.uint32)
         total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "slice int, counts binary"
-    merged = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(merge, schema)
+        return table.slice(0, 1).set_column(2, "counts", pa.array([total.tobytes()], pa.binary()))
+
+    schema = "fan int, slice int, counts binary"
+    # a sketch for each core, however many partitions there are, and no group of more than _FANS of them
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    merged = docs.select("text").coalesce(cores).mapInArrow(count, schema)
+    for keys in (["fan", "slice"], ["slice"]):
+        merged = merged.groupBy(*keys).applyInArrow(merge, schema)
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for row in merged.collect():  # at most 64 slices of 64 kB
         sketch[row["slice"] : row["slice"] + _SLICE] = np.frombuffer(row["counts"], np.uint32)
@@ -259,12 +267,23 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near duplicates: of each group the one with the smallest doc_id stays, of rows
-    repeated with one id one. Documents without an id stay. Columns as given."""
-    parts = materialize(jaccard_components(docs, width, percent))
-    gone = materialize(parts.where("doc_id <> component_id").select("doc_id").distinct())
-    twice = materialize(parts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    kept = docs.join(small_side(gone), "doc_id", "left_anti")
-    once = kept.join(small_side(twice), "doc_id", "left_anti")
-    again = kept.join(small_side(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).select(docs.columns)
+    """The documents without near duplicates, by row: of each group of rows whose texts are linked, one stays, that
+    of the smallest doc_id, of equal ids that of the smallest key. Ids only break ties: rows of one id with
+    different texts are different documents, and rows without an id come last. Of rows repeated with one
+    id and text, one stays. Rows without words are linked with nothing and all stay. Columns as given, whatever
+    their names."""
+    key, order = row_key(), docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("id"))
+    texts = docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = jaccard_components(texts, width, percent).where("n_shingles > 0")
+    parts = materialize(parts.groupBy("doc_id", "component_id").agg(F.count("*").alias("rows")))
+    some = materialize(order.distinct())
+    groups = parts.withColumnRenamed("doc_id", "key").join(some, "key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
+    stays = groups.groupBy("component_id").agg(first).select(F.col("first.key").alias("doc_id"), F.lit(True).alias("stays"))
+    judged = materialize(parts.join(stays, "doc_id", "left"))
+    kept = without_keys(docs, key, materialize(judged.where("stays is null").select("doc_id")))
+    twice = materialize(judged.where("stays and rows > 1").select("doc_id"))
+    once = without_keys(kept, key, twice)
+    name = fresh(docs.columns, "row_key")
+    again = kept.withColumn(name, key).join(small_side(twice.toDF(name)), name, "left_semi").dropDuplicates([name]).drop(name)
+    return once.unionByName(again)

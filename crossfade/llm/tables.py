@@ -1,6 +1,6 @@
 """Small helpers shared by the operators: written intermediate tables, checked broadcasts, components."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfade.sources.tables import materialize
@@ -31,6 +31,21 @@ def small_side(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(written) if written.count() <= rows else written
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name like this one that none of the given columns has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_keys(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows, with the columns as given, whose key is not among the keys (a written table of one column)."""
+    name = fresh(docs.columns, "row_key")
+    kept = docs.withColumn(name, key).join(small_side(keys.toDF(name)), name, "left_anti")
+    return kept.drop(name).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows of df whose column is not among the ids (a written table of that one column)."""
     return df.join(small_side(ids), column, "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossfade.llm.hashtable import HashTable
-from crossfade.llm.tables import fold, materialize, small_side
+from crossfade.llm.tables import fold, materialize, small_side, without_keys
 from crossfade.llm.words import WORD, find_words, hash_spans, hash_sums, mix, text_blocks
 
 FIT_ROWS = 20_000  # labelled texts that a fit takes, in expectation; a bound, whatever the labels table holds
@@ -166,8 +166,8 @@ def document_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, row_key) -> DataFrame:
-    """The documents that score below 0.5. Columns as given."""
+    """The documents that score below 0.5, by row: rows of one id are judged by their own texts. Columns as given,
+    whatever their names."""
     machine = fit(docs, labels.where(~fold("doc_id", 0)))
-    toxic = score(docs, machine, row_key).where("score >= 0.5").select(F.col("key").alias("__key")).distinct()
-    kept = docs.withColumn("__key", row_key).join(small_side(materialize(toxic)), "__key", "left_anti")
-    return kept.select(docs.columns)
+    toxic = score(docs, machine, row_key).where("score >= 0.5").select("key").distinct()
+    return without_keys(docs, row_key, materialize(toxic))

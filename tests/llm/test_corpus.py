@@ -71,12 +71,48 @@ def test_jaccard_components_equal_brute_force(spark, width, percent):
     assert sorted(map(tuple, got), key=repr) == sorted(components(texts, width, percent), key=repr)
 
 
+def test_keep_one_goes_by_row(spark):
+    a, b, c = (prose(random.Random(k), 60) for k in (11, 12, 13))
+    rows = [(2, a), (2, b), (1, a + " x"), (4, b + " y"), (None, b + " z"), (None, c), (None, c), (None, c + " q"), (6, ""), (6, ""), (None, None)]
+    df = frame(spark, rows).withColumn("__key", F.lit(7)).withColumn("row_key", F.lit("mine")).withColumn("Row_Key_", F.lit(1))
+    kept = N.keep_one(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    # one of each family: id 2 stands in two of them, and the last has no ids at all
+    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"] not in (None, 6)) == sorted([(1, a + " x"), (2, b)])
+    assert sum((r["text"] or "").startswith(c[:40]) for r in got) == 1
+    assert sum(r["text"] in ("", None) for r in got) == 3 and len(got) == 6
+    assert {(r["__key"], r["row_key"], r["Row_Key_"]) for r in got} == {(7, "mine", 1)}
+
+
+def test_stages_keep_columns_whatever_their_names(spark):
+    texts, labels = toxic_corpus(300)
+    df = frame(spark, texts).withColumn("__key", F.col("doc_id") + 1).withColumn("key", F.lit(3)).withColumn("row_key", F.lit(4))
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    item = texts[0][1]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for kept in (toxicity.drop_toxic(df, known, D.row_key()), D.drop_contaminated(df, bench)):
+        assert kept.columns == df.columns
+        rows = kept.collect()
+        assert 0 < len(rows) < len(texts)
+        assert all((r["__key"], r["key"], r["row_key"]) == (r["doc_id"] + 1, 3, 4) for r in rows)
+
+
+def test_sketch_does_not_grow_with_the_partitions(spark):
+    rng = random.Random(5)
+    df = frame(spark, [(i, prose(rng, 30)) for i in range(500)])
+    few, many = (N.token_sketch(df.repartition(n), 3) for n in (8, 400))
+    assert (few == many).all() and few.sum() > 0
+    parts = df.repartition(400).select("text").coalesce(spark.sparkContext.defaultParallelism)
+    assert parts.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_keep_one_and_empty(spark):
     base = prose(random.Random(1), 60)
     df = frame(spark, [(5, base), (3, base + " tail"), (3, base + " tail"), (9, prose(random.Random(2), 30)), (None, base), (7, ""), (8, None)])
     kept = N.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in kept.collect()) == [-1, 3, 7, 8, 9]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 7, 8, 9]
     assert N.keep_one(df.limit(0)).count() == 0 and N.jaccard_components(df.limit(0)).count() == 0
 
 
