@@ -21,6 +21,7 @@ from crossfade.operators import (
     events,
     ordering,
     popularity,
+    products,
     ranking,
     reports,
     rerank,
@@ -483,6 +484,23 @@ def als_recs(st, spark, sf_dir):
     )
 
 
+@query
+def vector_recs(st, spark, sf_dir):
+    """The top products of ``als_recs`` on given vectors: each vector asks as a user for the best others among those
+    that no event of its number is about."""
+    vectors = demo.item_vectors(spark, sf_dir).withColumnRenamed("features", "vector")
+    n = F.lit(vectors.count())
+    heard = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        (F.col("user_id") % n).alias("query_id"), (F.col("event_id") % n).alias("item_id")
+    )
+    return products.top_k_products(
+        vectors.withColumnRenamed("track_id", "query_id"),
+        vectors.withColumnRenamed("track_id", "item_id"),
+        K,
+        heard.distinct(),
+    )
+
+
 @query
 def als_similar(st, spark, sf_dir):
     vectors = als.item_vectors(st.als_model, st.item_encoder).toDF("track_id", "features")
@@ -643,6 +661,19 @@ def similar_lookup(st, spark, sf_dir):
     return similar.similar_lookup(_similar(st, spark, sf_dir), best.track_id, K)
 
 
+@query
+def similar_lookup_sorted(st, spark, sf_dir):
+    """The same from a table sorted by track, of which only the files that hold the track are opened."""
+    root, table = scratch(spark), _similar(st, spark, sf_dir)
+    tables.write_for_lookup(table, root, "similar", "track_id", ["rank"], rows=4096)
+    best = (
+        st.popularity.join(table.select("track_id").distinct(), "track_id", "left_semi")
+        .orderBy(F.desc("popularity_score"), "track_id")
+        .first()
+    )
+    return similar.similar_lookup(tables.lookup(spark, root, "similar", "track_id", best.track_id), best.track_id, K)
+
+
 @query
 def recent_events(st, spark, sf_dir):
     return serving.recent_events(demo.online_events(spark, sf_dir))

@@ -78,6 +78,44 @@ def write_table(df: DataFrame, root: str, table: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+LOOKUP_ROWS = 1 << 20  # rows in one file of a table for lookups
+
+
+def write_for_lookup(
+    df: DataFrame, root: str, table: str, key: str, order: Iterable[str] = (), rows: int = LOOKUP_ROWS
+) -> DataFrame:
+    """Write ``root/table.parquet`` in ranges of (key, *order), sorted, with a Bloom filter on the key in every row
+    group, and beside it ``table.ranges.parquet``: file, rows, and the lowest and highest key of each.
+
+    The number of files follows the number of rows; a key with very many rows is cut by ``order``. Read it whole as any
+    table, or a key with ``lookup``. Runs jobs.
+    """
+    written = materialize(df)
+    files = -(-written.count() // rows) or 1
+    path, by = f"{root}/{table}.parquet", [key, *order]
+    written.repartitionByRange(files, *by).sortWithinPartitions(*by).write.mode("overwrite").option(
+        f"parquet.bloom.filter.enabled#{key}", "true"
+    ).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file")
+    ranges = found.groupBy(file).agg(F.count("*").alias("rows"), F.min(key).alias("low"), F.max(key).alias("high"))
+    ranges.orderBy("low").coalesce(1).write.mode("overwrite").parquet(f"{root}/{table}.ranges.parquet")
+    return found
+
+
+def lookup(spark: SparkSession, root: str, table: str, key: str, value) -> DataFrame:
+    """The rows of one key of a table from ``write_for_lookup``: only files whose range holds the key are opened,
+    and in them the filter reaches the row groups."""
+    ranges = _read_parquet(spark, f"{root}/{table}.ranges.parquet", f"{table}.ranges")
+    value = F.lit(value)
+    files = [r["file"] for r in ranges.filter((F.col("low") <= value) & (F.col("high") >= value)).collect()]
+    whole = _read_parquet(spark, f"{root}/{table}.parquet", table)
+    if not files:
+        return whole.limit(0)
+    paths = [f"{root}/{table}.parquet/{file}" for file in files]
+    return spark.read.schema(whole.schema).parquet(*paths).filter(F.col(key) == value)
+
+
 def existing_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The table if it was written completely, which its ``_SUCCESS`` file shows, else None."""
     if "_SUCCESS" not in manifest.folders(spark, f"{root}/{table}.parquet"):

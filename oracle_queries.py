@@ -465,6 +465,14 @@ _QUERIES = {
     "offline_recs": _offline(10),
     "request_stats": f"SELECT source, count(DISTINCT user_id) AS request_count FROM ({_offline(10)}) GROUP BY 1",
     "similar_cosine": f"SELECT track_id, similar_track_id, {_r('similarity_score', 'similarity_score')}, rank FROM similarities",
+    "vector_recs": f"""SELECT query_id, item_id, {_r('score', 'score')}, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
+            SELECT a.vec_id AS query_id, b.vec_id AS item_id,
+                list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS score
+            FROM embeddings a, embeddings b ANTI JOIN (
+                SELECT DISTINCT user_id % (SELECT count(*) FROM embeddings) AS u,
+                    event_id % (SELECT count(*) FROM embeddings) AS t FROM events) h ON a.vec_id = h.u AND b.vec_id = h.t))
+        WHERE rank <= 10""",
     "similar_lookup": f"""SELECT similar_track_id, {_r('similarity_score', 'similarity_score')} FROM similarities
         WHERE track_id = (SELECT track_id FROM pop JOIN (SELECT DISTINCT vec_id AS track_id FROM embeddings)
             USING (track_id) ORDER BY popularity_score DESC, track_id LIMIT 1)""",
@@ -498,6 +506,7 @@ _QUERIES = {
 }
 
 
+_QUERIES["similar_lookup_sorted"] = _QUERIES["similar_lookup"]
 _QUERIES["sample_negatives_of_rows"] = _QUERIES["sample_negatives"]
 
 

@@ -170,3 +170,20 @@ def test_commits_do_not_overwrite_each_other(spark, folder):
     assert manifest.commit(spark, folder, {"a": "ü"}, 1) == 2
     assert manifest.latest(spark, folder) == (2, {"a": "ü"}) and manifest.versions(spark, folder) == [1, 2]
     assert manifest.fingerprint({"a": 1, "b": 2}) == manifest.fingerprint({"b": 2, "a": 1}) != manifest.fingerprint({"a": 1})
+
+
+@pytest.mark.parametrize("n, files", [(1000, 10), (4000, 40)])
+def test_lookup_opens_the_files_of_its_key_only(spark, folder, n, files):
+    df = spark.range(n).selectExpr("if(id % 4 = 0, 7, id * 13 % 1009) as k", "id as v").repartition(6)
+    tables.write_for_lookup(df, folder, "t", "k", ["v"], rows=100)
+    ranges = spark.read.parquet(f"{folder}/t.ranges.parquet").collect()
+    assert len(ranges) == files and max(r.rows for r in ranges) <= 300  # the hot key is cut too
+    for k in (7, 13, 500):
+        found = tables.lookup(spark, folder, "t", "k", k)
+        expected = df.filter(f"k = {k}")
+        assert sorted(r.v for r in found.collect()) == sorted(r.v for r in expected.collect())
+        opened = len(found.inputFiles())
+        assert opened <= (files // 4 + 3 if k == 7 else 2)
+    assert tables.lookup(spark, folder, "t", "k", 10**9).count() == 0
+    assert tables.write_for_lookup(df.limit(0), folder, "none", "k").count() == 0
+    assert tables.lookup(spark, folder, "none", "k", 1).count() == 0
