@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfade.llm.tables import materialize, small_side, without_keys
+from crossfade.llm.tables import gives_back, materialize, small_side, without_keys
 from crossfade.llm.words import WORD, find_words, hash_text, ragged, text_blocks, word_hashes
 
 PHRASES_AT_ONCE = 50_000  # phrases looked up by one pass over the index
@@ -38,6 +38,7 @@ def row_key():
 def build_index(docs: DataFrame) -> DataFrame:
     """The positional index of all texts, written once. Null text: no words."""
 
+    @gives_back
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         segment = TaskContext.get().partitionId() << 32
@@ -150,6 +151,7 @@ def _starts(segment: _Segment, phrases: _Phrases) -> tuple[np.ndarray, np.ndarra
 def _windows(items: DataFrame, width: int | None) -> DataFrame:
     """Distinct phrases (hash, terms) with the items they come from; width None: whole texts."""
 
+    @gives_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, terms = [], []
@@ -175,6 +177,7 @@ def _blocks(index: DataFrame, phrases: DataFrame) -> Iterator[_Phrases]:
         terms = [np.array(row["terms"], np.int64).view(np.uint64) for row in rows]
         wanted = np.unique(np.concatenate(terms)) if terms else np.zeros(0, np.uint64)
 
+        @gives_back
         def count(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(wanted), np.int64)
             for batch in batches:
@@ -214,6 +217,7 @@ def exact_matches(index: DataFrame, items: DataFrame, width: int = 10) -> DataFr
 
 
 def _matched(index: DataFrame, sent, everywhere: bool) -> DataFrame:
+    @gives_back
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: _Phrases = sent.value
         for batch in batches:
@@ -296,6 +300,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20) -> Dat
     for phrases in _blocks(index, _windows(items, None)):
         sent = index.sparkSession.sparkContext.broadcast(phrases)
 
+        @gives_back
         def near(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             phrases: _Phrases = sent.value
             for batch in batches:

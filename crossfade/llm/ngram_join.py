@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossfade.llm.decontaminate import row_key
-from crossfade.llm.tables import components, fresh, materialize, small_side, without_keys
+from crossfade.llm.tables import components, fresh, gives_back, materialize, small_side, without_keys
 from crossfade.llm.words import mix, shingle_sets
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the corpus
@@ -50,6 +50,7 @@ def token_sketch(docs: DataFrame, width: int) -> np.ndarray:
     """How many documents have a token of each of 2^20 hash buckets. The size is fixed, so the merged
     counts may pass through the driver and to all executors."""
 
+    @gives_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
@@ -122,6 +123,7 @@ def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFra
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(token_sketch(docs, width))
 
+    @gives_back
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -152,6 +154,7 @@ def document_sets(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFra
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the written pairs of classes (a, b) whose whole sets link."""
 
+    @gives_back
     def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """An id that stands for several texts brings them all; those of another set go."""
         for batch in batches:
@@ -169,6 +172,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     both = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
 
+    @gives_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_numpy() for i in (0, 1))

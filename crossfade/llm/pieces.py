@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crossfade.llm.hashtable import HashTable
+from crossfade.llm.tables import gives_back
 from crossfade.llm.words import hash_spans, hash_sums, mix, ragged, text_blocks
 
 SEED = 17
@@ -256,6 +257,7 @@ def encode(docs: DataFrame, model: str, into: str = "pieces", decoded: str | Non
     With ``decoded``, that column (``text``, if you like) holds what the ids decode to, without a second pass.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
@@ -284,6 +286,7 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 def decode(rows: DataFrame, model: str, ids: str = "pieces", into: str = "text") -> DataFrame:
     """The rows with the text that their piece ids spell; null ids give an empty text."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
@@ -300,6 +303,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
     """One row per document: doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers),
     n_bytes (of the decoded text) and lossless (whether that is the text)."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:

@@ -1,5 +1,11 @@
 """Small helpers shared by the operators: written intermediate tables, checked broadcasts, components."""
 
+import ctypes
+import functools
+import sys
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +21,24 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def gives_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function over Arrow batches; what its task freed goes back to the machine at its end, since workers
+    live on beside the executor's other work and would keep the most they ever used."""
+
+    @functools.wraps(run)
+    def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+                if trim:
+                    trim(0)
+
+    return run_task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder, read in small batches wherever Python works on it."""
     small_batches(spark)

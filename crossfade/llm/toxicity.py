@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossfade.llm.hashtable import HashTable
-from crossfade.llm.tables import fold, materialize, small_side, without_keys
+from crossfade.llm.tables import fold, gives_back, materialize, small_side, without_keys
 from crossfade.llm.words import WORD, find_words, hash_spans, hash_sums, mix, text_blocks
 
 FIT_ROWS = 20_000  # labelled texts that a fit takes, in expectation; a bound, whatever the labels table holds
@@ -50,6 +50,7 @@ def _distinct(value: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _term_counts(labelled: DataFrame) -> DataFrame:
     """(term, toxic, n): texts with and without the label that hold a term."""
 
+    @gives_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(0).to_numpy()
@@ -119,6 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
         return Machine(terms, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, 0)))
     table = HashTable(terms, np.arange(len(terms), dtype=np.int64))
 
+    @gives_back
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -143,6 +145,7 @@ def score(docs: DataFrame, machine: Machine, key) -> DataFrame:
     """(key, score) of every row; null and empty texts get the bias."""
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [sent.value.score(data, offsets) for _, data, offsets in text_blocks(batch.column(1))]
