@@ -40,9 +40,8 @@ TEMPLATES = [
 
 
 def words_of(text: str = "text") -> Column:
-    """The words of a text in order; null has none. Lower-casing goes beyond A-Z, which cannot change where
-    words begin and end, nor make one of the phrases."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    """The words of a text in order, only A-Z lower-cased; null has none."""
+    low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_remove(F.split(low, r"[\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"), "")
 
 

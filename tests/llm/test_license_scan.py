@@ -55,3 +55,9 @@ def test_spans_and_empty_table(spark):
     row = L.find_licenses(df).first()
     assert (row["label"], row["first_word"], row["last_word"], row["share"]) == ("mit", 2, 6, 1.0)
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_only_ascii_is_lower_cased(spark):
+    text = "This wor\u212a IS \u00c9"  # KELVIN SIGN is no k
+    words = spark.createDataFrame([(text,)], "text string").select(L.words_of()).first()[0]
+    assert words == ["this", "wor\u212a", "is", "\u00c9"]
