@@ -16,6 +16,7 @@ from crossfade.functions.scaling import confidence, divide_by_max, min_max_scale
 from crossfade.functions.text import clean_name, normalize_title, standardize_text
 from crossfade.operators import (
     als,
+    audit,
     catalog,
     evaluate,
     events,
@@ -547,6 +548,101 @@ def rank_with_model(st, spark, sf_dir):
     )
 
 
+# --- what must hold of learnt results, whatever was learnt -----------------------------------
+
+
+@query
+def factor_indexes(st, spark, sf_dir):
+    """Who has factors, and how many: the users and items of the training matrix."""
+    sides = {"user": st.als_model.userFactors, "item": st.als_model.itemFactors}
+    return _stack(
+        df.select(F.lit(side).alias("side"), F.col("id").alias("idx"), F.size("features").alias("n_factors"))
+        for side, df in sides.items()
+    )
+
+
+@query
+def saved_factors(st, spark, sf_dir):
+    """A factor model saved and loaded again: its recorded parameters, its factors and how many of them changed."""
+    path, model = f"{scratch(spark)}/als", st.als_model
+    given = st.record["models"]["als"]["parameters"]
+    als.save_als(model, path, given)
+    again = als.load_als(path, given)
+    both = model.userFactors.join(again.userFactors.toDF("id", "loaded"), "id", "full")
+    return both.agg(
+        F.count("*").alias("n_users"), F.count_if(~F.col("features").eqNullSafe(F.col("loaded"))).alias("n_changed")
+    ).select("*", *(F.lit(value).alias(name) for name, value in als.als_parameters(spark, path).items()))
+
+
+@query
+def als_recs_audit(st, spark, sf_dir):
+    """Per user with factors: the list's size and ranks; heard tracks and scores that are not the factors' product."""
+    owners = als.user_vectors(st.als_model, st.user_encoder)
+    items = als.item_vectors(st.als_model, st.item_encoder)
+    rows = audit.with_products(st.personal_als, "user_id", "track_id", owners, items)
+    return audit.audit_lists(rows, "user_id", "track_id", "score", refused=st.train_events)
+
+
+@query
+def als_similar_audit(st, spark, sf_dir):
+    """Per track with factors: the list's size and ranks; itself as its neighbour, and wrong cosines."""
+    items = als.item_vectors(st.als_model, st.item_encoder)
+    lists = similar.similar_items(items.toDF("track_id", "features"), K)
+    rows = audit.with_products(lists, "track_id", "similar_track_id", items, items, cosine=True)
+    itself = st.item_encoder.select("track_id", F.col("track_id").alias("similar_track_id"))
+    return audit.audit_lists(rows, "track_id", "similar_track_id", "similarity_score", refused=itself)
+
+
+@query
+def training_rows(st, spark, sf_dir):
+    """What the ranker learns from, on given personal scores: positives, drawn negatives and their features."""
+    features = ranking.track_features(st.catalog, st.train_events)
+    return ranking.training_rows(_personal(spark, sf_dir), st.top_popular, features, st.test_events, sample_users=None)
+
+
+@query
+def recommendations_audit(st, spark, sf_dir):
+    """Per user: the final list's size and ranks; rows from outside the candidates, and targets that are not the
+    test events'."""
+    candidates = ranking.explode_lists(ranking.candidate_lists(st.personal_als, st.top_popular))
+    rows = st.recommendations
+    heard = st.test_events.select("user_id", "track_id", F.lit(1).alias("_heard"))
+    rows = rows.join(heard, ["user_id", "track_id"], "left")
+    targets = rows.groupBy("user_id").agg(
+        F.count_if(F.col("target") != F.coalesce("_heard", F.lit(0))).alias("n_wrong_targets"),
+        F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("n_no_probability"),
+    )
+    return audit.audit_lists(rows, "user_id", "track_id", "score", allowed=candidates).join(targets, "user_id")
+
+
+@query
+def rank_with_model_audit(st, spark, sf_dir):
+    """Per user found in both candidate lists: size and ranks, and rows from outside the two lists."""
+    given = [df.select("user_id", "track_id") for df in (st.als_recs, st.popular_recs)]
+    return audit.audit_lists(st.ranked_recs, "user_id", "track_id", "score", allowed=_stack(given))
+
+
+@query
+def importance_audit(st, spark, sf_dir):
+    """The ranker's features, whether each share lies between 0 and 100, and the sum of all."""
+    shares = ranking.feature_importance(spark, st.ranker)
+    total = shares.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return shares.select("feature", F.col("importance").between(0, 100).alias("in_range"), total.scalar().alias("total"))
+
+
+@query
+def evaluation_users(st, spark, sf_dir):
+    """For each model: the users it was judged on, and whether all five metrics are possible values."""
+    share = ["precision_at_k", "recall_at_k", "ndcg_at_k", "diversity_at_k"]
+    possible = reduce(lambda a, b: a & b, [F.col(name).between(0, 1) for name in share]) & (F.col("novelty_at_k") > -1e-6)
+    return _stack(
+        st.evaluation(model).select(
+            F.lit(model).alias("model"), "total_users", "evaluated_users", F.coalesce(possible, F.lit(False)).alias("possible")
+        )
+        for model in ("popularity", "als", "ranked")
+    )
+
+
 # --- metrics -------------------------------------------------------------------------------
 
 

@@ -506,6 +506,40 @@ _QUERIES = {
 }
 
 
+_KEPT_RULES = "CAST(0 AS BIGINT)"
+_FULL_LIST = """{n} AS n_rows, {n} AS n_items, CAST(1 AS BIGINT) AS first_rank, {n} AS last_rank,
+    {zero} AS n_rising"""
+
+
+def _full_list(n: str) -> str:
+    """The audit of a list of n rows that breaks no rule of order."""
+    return _FULL_LIST.format(n=f"CAST({n} AS BIGINT)", zero=_KEPT_RULES)
+
+
+# Learnt results: what holds whatever was learnt.
+_QUERIES |= {
+    "factor_indexes": """SELECT DISTINCT 'user' AS side, user_idx AS idx, 64 AS n_factors FROM train_ev JOIN user_enc USING (user_id)
+        UNION ALL SELECT DISTINCT 'item', item_idx, 64 FROM train_ev JOIN item_enc USING (track_id)""",
+    "saved_factors": f"""SELECT count(DISTINCT user_id) AS n_users, {_KEPT_RULES} AS n_changed, 64 AS factors,
+        CAST(0.01 AS DOUBLE) AS regularization, 15 AS iterations, CAST(1 AS DOUBLE) AS alpha, 42 AS seed FROM train_ev""",
+    "als_recs_audit": f"""SELECT user_id, {_full_list("least(10, tracks - heard)")}, {_KEPT_RULES} AS n_refused,
+        {_KEPT_RULES} AS n_wrong FROM (SELECT user_id, count(*) AS heard FROM train_ev GROUP BY 1),
+            (SELECT count(DISTINCT track_id) AS tracks FROM train_ev) WHERE tracks > heard""",
+    "als_similar_audit": f"""SELECT DISTINCT track_id, {_full_list("least(10, tracks - 1)")}, {_KEPT_RULES} AS n_refused,
+        {_KEPT_RULES} AS n_wrong FROM train_ev, (SELECT count(DISTINCT track_id) AS tracks FROM train_ev) WHERE tracks > 1""",
+    "training_rows": f"""SELECT user_id, track_id, als_score, popularity_score, target,
+        {", ".join(_r(f"coalesce({name}, 0)", name) for name in ("genre_popularity", "artist_popularity", "track_group_size"))}
+        FROM ({_QUERIES["sample_negatives"]}) LEFT JOIN features USING (track_id)""",
+    "recommendations_audit": f"""SELECT DISTINCT user_id, {_full_list("least(10, (SELECT count(*) FROM top100))")},
+        {_KEPT_RULES} AS n_foreign, {_KEPT_RULES} AS n_wrong_targets, {_KEPT_RULES} AS n_no_probability FROM train_ev""",
+    "rank_with_model_audit": f"""SELECT DISTINCT user_id, {_full_list("10")}, {_KEPT_RULES} AS n_foreign
+        FROM train_ev JOIN (SELECT DISTINCT user_id FROM pop_recs) USING (user_id)""",
+    "importance_audit": """SELECT unnest(['als_score', 'popularity_score', 'genre_popularity', 'artist_popularity',
+        'track_group_size']) AS feature, true AS in_range, CAST(100 AS DOUBLE) AS total""",
+    "evaluation_users": """SELECT model, (SELECT count(DISTINCT user_id) FROM ev) AS total_users,
+        (SELECT count(DISTINCT user_id) FROM test_ev) AS evaluated_users, true AS possible
+        FROM (SELECT unnest(['popularity', 'als', 'ranked']) AS model)""",
+}
 _QUERIES["similar_lookup_sorted"] = _QUERIES["similar_lookup"]
 _QUERIES["sample_negatives_of_rows"] = _QUERIES["sample_negatives"]
 
