@@ -1,17 +1,18 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
 A vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, in order of nearness. These are
-vectors of a sample of ``SAMPLE``, no two of them with a cosine of ``APART`` or more, and random directions where the
-sample has too few. So a group of near copies, however large, holds one of them at most: with several, all nearly
-as near, chance would choose among them and copies would not meet. Vectors that lie so close together that few
-pivots tell them apart share most of their lists and are compared with one another in full. The inverted lists go from every three of those pivots to the
-vectors that have all three among their nearest: two vectors meet in a list if and only if they share at
+vectors of a sample of ``SAMPLE``, no two of them with a cosine of the first of ``APART`` or more; where the sample has
+too few of these, as when all vectors lie in a narrow cone, of the next, and random directions fill up the rest. So a
+group of near copies, however large, holds one of them at most: with several, all nearly as near, chance would choose
+among them and copies would not meet. Vectors that all lie closer together than the last of ``APART`` share most of their
+lists and are compared with one another in full. The inverted lists go from every three of those pivots to the vectors that have all
+three among their nearest: two vectors meet in a list if and only if they share at
 least three pivots, and a pair that meets in several is looked at in the first list only. Every pair that
 meets is verified by its cosine in double precision, so a link is never wrong; near vectors share fewer than
 three pivots very rarely (the tests measure recall against brute force).
 
-Equal vectors are one class before all this, however many they are. A list is worked off by matrix products;
-a long one is cut into blocks of ``BLOCK`` rows, and each pair of blocks is a task's work of its own, so no list
+Equal vectors are one class before all this, however many they are. Lists are worked off by products of ``TILE`` rows
+with at most ``BLOCK``, so memory follows these numbers and the vectors' length, not the lists; a long list is cut into blocks of ``BLOCK`` rows, and each pair of blocks is a task's work of its own, so no list
 is capped and none has to fit a task. A task hands on sums and a spanning forest of its links, not the pairs.
 """
 
@@ -29,11 +30,12 @@ from crossfade.llm.tables import components, materialize, small_side
 
 PIVOTS = 64
 SAMPLE = 4096  # vectors that the pivots are taken from
-APART = 0.7  # cosine that two pivots stay below
+APART = (0.7, 0.8, 0.9)  # cosines that two pivots stay below, the first that gives enough
 NEAREST = 6
 SHARED = 3
 BLOCK = 2048
-_PAIRS_AT_ONCE = 1 << 20
+TILE = 128
+_LINKS_HELD = 1 << 20  # links between folds into a forest
 _CHOICES = np.array(list(combinations(range(NEAREST), SHARED)))
 
 
@@ -89,10 +91,11 @@ def _unit(raw: pa.Array, kind) -> np.ndarray:
 def _pivots(rows: np.ndarray) -> np.ndarray:
     """Unit vectors from the rows, in their order, that lie apart, filled up with random directions."""
     chosen, near = [], np.full(len(rows), -1.0)
-    for i in range(len(rows)):
-        if near[i] < APART and len(chosen) < PIVOTS:
-            chosen.append(i)
-            near = np.maximum(near, rows @ rows[i])
+    for apart in APART:
+        for i in range(len(rows)):
+            if near[i] < apart and len(chosen) < PIVOTS:
+                chosen.append(i)
+                near = np.maximum(near, rows @ rows[i])
     others = np.random.default_rng(rows.shape[1]).standard_normal((PIVOTS - len(chosen), rows.shape[1]))
     return np.concatenate([rows[chosen], others / np.linalg.norm(others, axis=1, keepdims=True)])
 
@@ -162,20 +165,17 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
-def _list_pairs(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows within each of consecutive lists, a bounded number at a time."""
-    ends = np.cumsum(sizes)
-    row_end = np.repeat(ends, sizes)
-    after = row_end - np.arange(len(row_end)) - 1  # partners that follow in the list
-    lo = 0
-    total = np.cumsum(after)
-    while lo < len(after):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + _PAIRS_AT_ONCE, "right")))
-        counts = after[lo:hi]
-        a = np.repeat(np.arange(lo, hi), counts)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts)
-        yield a, b
-        lo = hi
+def _near_pairs(units: np.ndarray, ends: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs a < b of rows of one list whose product reaches the threshold, a tile of products at a time. Rows of a list
+    follow one another; ``ends`` has the end of each row's list."""
+    for lo in range(0, len(units), TILE):
+        hi = min(lo + TILE, len(units))
+        for left in range(lo, int(ends[hi - 1]), BLOCK):
+            right = min(left + BLOCK, int(ends[hi - 1]))
+            a, b = np.nonzero(units[lo:hi] @ units[left:right].T >= threshold)
+            a, b = a + lo, b + left
+            mine = (a < b) & (b < ends[a])
+            yield a[mine], b[mine]
 
 
 def _links(lists: DataFrame, threshold: float, kind: type) -> DataFrame:
@@ -194,6 +194,11 @@ def _links(lists: DataFrame, threshold: float, kind: type) -> DataFrame:
         if held is not None and held.num_rows:
             yield from portion(held.combine_chunks())
 
+    def fold(root: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The forest with these links added to the ones it stands for."""
+        a = np.concatenate([np.arange(len(root)), *(a for a, _ in found)])
+        return _forest(a, np.concatenate([root, *(b for _, b in found)]), len(root))
+
     def portion(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         n = rows.num_rows
         columns = {name: rows.column(name).to_numpy() for name in [*keys, "own", "node", "count"]}
@@ -204,28 +209,25 @@ def _links(lists: DataFrame, threshold: float, kind: type) -> DataFrame:
             new[1:] |= columns[name][1:] != columns[name][:-1]
         starts = np.flatnonzero(new)
         raw = rows.column("raw").combine_chunks()
-        links, found_a, found_b = np.zeros(n, np.int64), [], []
-        sizes = columns["size"]
-        for size in np.unique(sizes):
-            at = np.flatnonzero(sizes == size)
-            units = np.zeros((n, size // np.dtype(kind).itemsize))
-            units[at] = _unit(raw.take(pa.array(at)), kind)
-            for a, b in _list_pairs(np.diff(starts, append=n)):
-                mine = sizes[a] == size
+        ends = np.repeat(np.append(starts[1:], n), np.diff(starts, append=n))
+        node, place = np.unique(columns["node"], return_inverse=True)
+        links, root, found, waiting = np.zeros(n, np.int64), np.arange(len(node)), [], 0
+        for size in np.unique(columns["size"]):
+            at = np.flatnonzero(columns["size"] == size)  # whole lists
+            units = _unit(raw.take(pa.array(at)), kind)
+            for a, b in _near_pairs(units, np.searchsorted(at, ends[at]), threshold):
+                a, b = at[a], at[b]
                 # two blocks of a long list: only pairs across them; one block: all pairs
-                mine &= (columns["left"][a] == columns["right"][a]) | (columns["own"][a] != columns["own"][b])
+                mine = (columns["left"][a] == columns["right"][a]) | (columns["own"][a] != columns["own"][b])
+                mine &= _first_trio(nearest[a] & nearest[b]) == trio[a]
                 a, b = a[mine], b[mine]
-                mine = _first_trio(nearest[a] & nearest[b]) == trio[a]
-                a, b = a[mine], b[mine]
-                near = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
-                a, b = a[near], b[near]
                 np.add.at(links, a, columns["count"][b])
                 np.add.at(links, b, columns["count"][a])
-                found_a.append(a)
-                found_b.append(b)
-        node, place = np.unique(columns["node"], return_inverse=True)
-        a, b = place[np.concatenate(found_a)], place[np.concatenate(found_b)]
-        root = _forest(a, b, len(node))
+                found.append((place[a], place[b]))
+                waiting += len(a)
+                if waiting >= _LINKS_HELD:
+                    root, found, waiting = fold(root, found), [], 0
+        root = fold(root, found)
         total = np.bincount(place, links, len(node)).astype(np.int64)
         yield pa.record_batch({"node": node, "links": total, "root": node[root]}).filter(pa.array(total > 0))
 

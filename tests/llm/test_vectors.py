@@ -24,9 +24,10 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("block", [V.BLOCK, 16])
-def test_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "links_held"), [(V.BLOCK, V._LINKS_HELD), (16, 20)])
+def test_equals_brute_force(spark, monkeypatch, block, links_held):
     monkeypatch.setattr(V, "BLOCK", block)
+    monkeypatch.setattr(V, "_LINKS_HELD", links_held)
     rng = np.random.default_rng(1)
     base = rng.standard_normal((60, 32))
     rows = []
@@ -69,3 +70,43 @@ def test_recall_in_a_large_group_of_near_copies(spark, share, noise):
 
 def test_no_vectors(spark):
     assert V.near_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<double>")).count() == 0
+
+
+@pytest.mark.parametrize(("size", "mean"), [(64, 0.8), (768, 0.8), (64, 0.88)])
+def test_recall_in_a_narrow_cone(spark, size, mean):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((1200, size))
+    base *= np.sqrt(1 - mean) / np.linalg.norm(base, axis=1, keepdims=True)
+    base[:, 0] += np.sqrt(mean)
+    noise = rng.standard_normal((1200, size))
+    noise *= rng.uniform(0, 0.2, (1200, 1)) / np.linalg.norm(noise, axis=1, keepdims=True)
+    rows = np.concatenate([base, base + noise])
+    unit = rows.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    total = int((unit @ unit.T >= 0.98).sum()) - len(rows)
+    df = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(rows)], "vec_id long, label int, embedding array<float>")
+    found = sum(r["n_links"] for r in V.near_vectors(df).collect())
+    assert total > 2000 and 0.97 * total <= found <= total
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.8])
+def test_few_pairs_meet(mean):
+    rows = np.random.default_rng(4).standard_normal((2000, 64))
+    rows *= np.sqrt(1 - mean) / np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[:, 0] += np.sqrt(mean)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    order = np.argsort(-(rows @ V._pivots(rows).T), axis=1)[:, : V.NEAREST]
+    near = np.zeros((2000, V.PIVOTS))
+    np.put_along_axis(near, order, 1, axis=1)
+    assert ((near @ near.T >= V.SHARED).mean()) < 0.1
+
+
+def test_near_pairs_of_lists_equal_all_products():
+    rng = np.random.default_rng(6)
+    units = rng.standard_normal((700, 3))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    ends = np.repeat([1, 130, 131, 600, 700], [1, 129, 1, 469, 100])
+    got = [pair for a, b in V._near_pairs(units, ends, 0.9) for pair in zip(a.tolist(), b.tolist())]
+    product = units @ units.T
+    assert sorted(got) == [(a, b) for a in range(700) for b in range(a + 1, int(ends[a])) if product[a, b] >= 0.9]
+    assert list(V._near_pairs(units[:0], ends[:0], 0.9)) == []
