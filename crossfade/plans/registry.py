@@ -20,6 +20,7 @@ from crossfade.operators import (
     catalog,
     evaluate,
     events,
+    matrix,
     ordering,
     popularity,
     products,
@@ -319,6 +320,19 @@ def interaction_matrix_test(st, spark, sf_dir):
     return events.interaction_matrix(st.test_events, st.user_encoder, st.item_encoder)
 
 
+@query
+def packed_matrix(st, spark, sf_dir):
+    """The training matrix written as blocks of compressed rows and read back."""
+    return matrix.unpack(tables.write_table(matrix.pack(st.train_matrix), scratch(spark), "train_matrix"))
+
+
+@query
+def packed_matrix_slice(st, spark, sf_dir):
+    """Rows 100 to 199 of it, read from the blocks that hold them."""
+    blocks = tables.write_table(matrix.pack(st.train_matrix), scratch(spark), "train_matrix")
+    return matrix.unpack(blocks, low=100, high=200)
+
+
 @query
 def confidence_weights(st, spark, sf_dir):
     return st.train_events.select(

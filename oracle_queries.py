@@ -540,6 +540,8 @@ _QUERIES |= {
         (SELECT count(DISTINCT user_id) FROM test_ev) AS evaluated_users, true AS possible
         FROM (SELECT unnest(['popularity', 'als', 'ranked']) AS model)""",
 }
+_QUERIES["packed_matrix"] = _QUERIES["interaction_matrix"]
+_QUERIES["packed_matrix_slice"] = f"SELECT * FROM ({_QUERIES['interaction_matrix']}) WHERE user_idx BETWEEN 100 AND 199"
 _QUERIES["similar_lookup_sorted"] = _QUERIES["similar_lookup"]
 _QUERIES["sample_negatives_of_rows"] = _QUERIES["sample_negatives"]
 
