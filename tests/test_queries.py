@@ -134,3 +134,10 @@ def test_stages_resume(spark, folder):
     again = stages(True)
     again.table("tracks_catalog_clean", lambda: pytest.fail("written twice"))
     assert again.catalog.count() == first.count()
+
+
+def test_users_with_positive_keeps_every_candidate(spark):
+    labelled = [tuple(r) for r in entry.queries()["labels"](spark, SF_DIR).collect()]
+    users = {r[0] for r in labelled if r[-1]}
+    found = sorted(tuple(r) for r in entry.queries()["users_with_positive"](spark, SF_DIR).collect())
+    assert found == sorted(r for r in labelled if r[0] in users) and len(found) > 100 * len(users) > 0
