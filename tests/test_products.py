@@ -153,3 +153,12 @@ def test_vectors_without_a_product_are_left_out(spark):
     assert lists(found, "query_id", "item_id") == brute_force(good, good, 9)
     assert top_k_products(None, table.limit(0), 3).collect() == []
     assert top_k_products(table.limit(0).withColumnRenamed("item_id", "query_id"), table, 3).collect() == []
+
+
+def test_items_that_ask_are_copied_once_a_core(spark):
+    rng = np.random.default_rng(5)
+    items = {i: rng.normal(size=8) for i in range(3000)}  # without structure: every pair of blocks is opened
+    found = products.search_blocks(None, vectors(spark, items, "item_id"), 3, None, None, 32)
+    pairs = found.pairs.first()
+    assert pairs.item_blocks > 60 and pairs.query_blocks <= 2 * spark.sparkContext.defaultParallelism
+    assert lists(found.rows, "query_id", "item_id") == brute_force(items, items, 3)
