@@ -61,3 +61,20 @@ def test_end_of_line_stops_the_cut(spark):
 def test_title_case_of_marks_and_digits(spark):
     df = spark.createDataFrame([("a1b c-d e.f",)], "text string")
     assert df.select(title_case(F.col("text"))).first()[0] == "A1b C-D E.F"
+
+
+def test_decomposition_keeps_texts_as_arrow_strings(spark, monkeypatch):
+    import unicodedata
+
+    from crossfade.functions import text
+
+    # a batch of Python objects takes several times the size of its texts
+    monkeypatch.setattr(text.F, "pandas_udf", lambda *a: pytest.fail("texts as Python objects"))
+    nfkd = text.nfkd
+
+    letters = "".join(map(chr, range(0x80, 0xD7FF)))
+    assigned = "".join(c for c in letters if unicodedata.category(c) != "Cn")
+    texts = ["plain", None, "", "Ǆ ﬁ ½ e\u0323\u0301 e\u0301\u0323 가", assigned]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    found = [r[1] for r in df.select("id", nfkd("text")).orderBy("id").collect()]
+    assert found == [t and unicodedata.normalize("NFKD", t) for t in texts]
