@@ -173,3 +173,19 @@ def test_rank_with_model_needs_both_sources(spark):
     found = R.rank_with_model(model, als, popular, catalog, events, 4)
     assert {r.user_id for r in found.collect()} == {1, 2}
     assert found.count() == 8
+
+
+def test_top_of_lists_equals_ranked_rows_without_a_shuffle(spark):
+    rng = random.Random(4)
+    personal = spark.createDataFrame(
+        [(u, t, rng.random(), k) for u in range(20) for k, t in enumerate(rng.sample(range(40), 5), 1)],
+        "user_id long, track_id long, score float, rank int",
+    )
+    top = spark.createDataFrame([(t, rng.randint(1, 4)) for t in range(0, 40, 2)], "track_id long, popularity_score long")
+    lists = R.candidate_lists(personal, top, 20)
+    ranked = R.top_k_per_user(R.rank_by_score(R.explode_lists(lists), "popularity_score"), 7)
+    found = R.top_of_lists(lists, "popularity_score", 7)
+    assert dict(found.dtypes) == dict(ranked.dtypes) and rows(found, *ranked.columns) == rows(ranked, *ranked.columns)
+    assert rows(R.top_of_lists(lists, "popularity_score", 99), "*") != rows(found, "*")
+    plan = R.top_of_lists(R.candidate_lists(personal, top, 20), "popularity_score", 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
