@@ -24,6 +24,12 @@ def with_products(
     return rows.withColumn("expected", product).drop("_a", "_b")
 
 
+def _marked(rows: DataFrame, among: DataFrame, keys: list[str], mark: str) -> DataFrame:
+    """Adds ``mark``: 1 where the keys are among these, else null."""
+    found = among.select(*keys).distinct().withColumn(mark, F.lit(1))
+    return rows.join(found.hint("merge"), keys, "left")
+
+
 def audit_lists(
     lists: DataFrame,
     key: str,
@@ -31,11 +37,14 @@ def audit_lists(
     score: str,
     allowed: DataFrame | None = None,
     refused: DataFrame | None = None,
+    shared: DataFrame | None = None,
 ) -> DataFrame:
     """One row per owner of a list: rows, different items, first and last rank, and how many rows break a rule.
 
     ``n_rising`` rows score higher than the row ranked before them. With ``allowed`` (key, item), ``n_foreign`` rows
-    are not among these pairs; with ``refused``, ``n_refused`` rows are. If the lists have a column ``expected``,
+    are not among these pairs; ``shared`` (item: a short list) are allowed too for every owner that ``allowed`` names.
+    With ``refused``, ``n_refused`` rows are among these pairs. Both are joined by a shuffle, since lists made inside a
+    plan have more rows than Spark expects and would be gathered in the driver to be broadcast. If the lists have a column ``expected``,
     ``n_wrong`` rows have no such value or a score that differs from it by more than ``TOLERANCE`` of its size or of 1.
     """
     pair = [key, item]
@@ -49,10 +58,14 @@ def audit_lists(
         F.count_if(F.col("_score") > F.col("_before")).alias("n_rising"),
     ]
     if allowed is not None:
-        rows = rows.join(allowed.select(*pair).distinct().withColumn("_allowed", F.lit(1)), pair, "left")
+        rows = _marked(rows, allowed, pair, "_allowed")
+        if shared is not None:
+            everyone = F.array_contains(shared.select(F.collect_set(item)).scalar(), F.col(item))
+            rows = _marked(rows, allowed, [key], "_owner")
+            rows = rows.withColumn("_allowed", F.when(everyone & F.col("_owner").isNotNull(), 1).otherwise(F.col("_allowed")))
         counts.append(F.count_if(F.col("_allowed").isNull()).alias("n_foreign"))
     if refused is not None:
-        rows = rows.join(refused.select(*pair).distinct().withColumn("_refused", F.lit(1)), pair, "left")
+        rows = _marked(rows, refused, pair, "_refused")
         counts.append(F.count_if(F.col("_refused").isNotNull()).alias("n_refused"))
     if extra:
         bound = TOLERANCE * F.greatest(F.lit(1.0), F.abs("expected"))

@@ -24,6 +24,15 @@ def test_faults_are_counted_per_owner(spark):
     }
 
 
+def test_shared_items_are_allowed_to_named_owners_and_nothing_is_broadcast(spark):
+    lists = frame(spark, [(1, 10, 3.0, 1), (1, 50, 2.0, 2), (1, 11, 1.0, 3), (2, 50, 1.0, 1), (3, 10, 1.0, 1)])
+    pairs = "user_id long, track_id long"
+    allowed, shared = frame(spark, [(1, 10), (1, 10), (3, 99)], pairs), frame(spark, [(50,), (51,)], "track_id long")
+    found = audit_lists(lists, "user_id", "track_id", "score", allowed, allowed, shared)
+    assert {r["user_id"]: r["n_foreign"] for r in found.collect()} == {1: 1, 2: 1, 3: 1}
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_are_held_against_the_vectors(spark):
     lists = frame(spark, [(1, 10, 11.0, 1), (1, 11, 4.0, 2), (2, 10, 0.9839, 1), (3, 10, 1.0, 1), (2, 12, None, 2)])
     owners = frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])], "id long, v array<float>")
