@@ -189,3 +189,54 @@ def test_top_of_lists_equals_ranked_rows_without_a_shuffle(spark):
     assert rows(R.top_of_lists(lists, "popularity_score", 99), "*") != rows(found, "*")
     plan = R.top_of_lists(R.candidate_lists(personal, top, 20), "popularity_score", 7)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_rank_all_equals_scoring_every_candidate_without_a_row_for_each(spark):
+    rng = random.Random(8)
+    personal = spark.createDataFrame(
+        [(u, t, rng.random(), k) for u in range(30) for k, t in enumerate(rng.sample(range(50), rng.randint(1, 6)), 1)],
+        "user_id long, track_id long, score float, rank int",
+    )
+    top = spark.createDataFrame([(t, rng.randint(1, 9)) for t in range(0, 50, 2)], "track_id long, popularity_score long")
+    catalog = spark.createDataFrame(
+        [(t, t % 3, t % 7, t // 2) for t in range(45)], "track_id long, genre_id long, artist_id long, track_group_id long"
+    )
+    events = spark.createDataFrame(
+        [(rng.randint(0, 35), rng.randint(0, 49), rng.randint(1, 5)) for _ in range(300)], "user_id long, track_id long, listen_count long"
+    )
+    train = R.training_rows(personal, top, R.track_features(catalog, events), events)
+    model = R.fit_ranker(train, iterations=4)
+    lists = R.label_lists(R.candidate_lists(personal, top, 20), events)
+    plain = R.add_track_features(R.explode_lists(lists), R.track_features(catalog, events))
+    for k in (3, 8, 40):
+        expected = R.top_k_per_user(R.predict_and_rank(model, plain), k)
+        found = R.rank_all(model, personal, top, catalog, events, events, k, 20)
+        assert found.dtypes == expected.dtypes and rows(found, "*") == rows(expected, "*")
+    found = R.rank_all(model, personal, top.limit(0), catalog, events, events, 3)
+    assert found.count() == sum(min(r["count"], 3) for r in personal.groupBy("user_id").count().collect())
+    plan = R.rank_all(model, personal, top, catalog, events, events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_the_ranker_learns_from_the_sampled_users_lists_alone(spark, folder, monkeypatch):
+    from crossfade.operators import als
+    from crossfade.plans.stages import Parameters, Stages
+
+    rng = random.Random(3)
+    pairs = sorted({(u, rng.randint(0, 11)) for u in range(30) for _ in range(5)} | {(30, t) for t in range(12)})
+    events = spark.createDataFrame([(u, t, 1) for u, t in pairs], "user_id long, track_id long, listen_count long")
+    users = spark.createDataFrame([(u, u) for u in range(32)], "user_id long, user_idx long")
+    items = spark.createDataFrame([(t, t) for t in range(12)], "track_id long, item_idx long")
+    model = als.fit_als(events.toDF("user_idx", "item_idx", "weight"), factors=4, iterations=2, blocks=2)
+    every = als.recommend_als(model, users, items, events, 5)
+    listed = als.listed_users(model, users, items, events)
+    # user 30 has heard all, user 31 has no factors
+    assert rows(listed, "user_id") == rows(every.select("user_id").distinct(), "user_id") == [(u,) for u in range(30)]
+
+    names = ("user_encoder", "item_encoder", "train_events", "als_model")
+    for name, value in zip(names, (users, items, events, model)):
+        monkeypatch.setattr(Stages, name, value)
+    stages = Stages(spark, folder, events, events, events, Parameters(sample_users=7, n_recs=5))
+    some = R.sample_keys(every, "user_id", 7, 42)
+    assert rows(stages._personal_of_sample(), "*") == rows(every.join(some, "user_id", "left_semi"), "*")
+    assert stages.record["tables"] == []
