@@ -240,3 +240,21 @@ def test_the_ranker_learns_from_the_sampled_users_lists_alone(spark, folder, mon
     some = R.sample_keys(every, "user_id", 7, 42)
     assert rows(stages._personal_of_sample(), "*") == rows(every.join(some, "user_id", "left_semi"), "*")
     assert stages.record["tables"] == []
+
+
+def test_candidate_lists_build_no_map_and_no_filter_for_users_who_own_no_top_track(spark):
+    rows = [(1, 10, 0.5), (1, 99, 0.25), (2, 99, 0.2), (3, None, 0.1), (3, 11, 0.3), (None, 12, 0.4)]
+    personal = spark.createDataFrame(rows, "user_id long, track_id long, score double")
+    top = spark.createDataFrame([(10, 4.0), (11, 2.0), (12, 1.0)], "track_id long, popularity_score double")
+    lists = R.candidate_lists(personal, top)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "map_from_arrays" not in plan and "CASE WHEN _meets" in plan
+    found = {r.user_id: sorted((c.track_id or 0, c.als_score, c.popularity_score) for c in r.candidates) for r in lists.collect()}
+    assert found == {
+        1: [(10, 0.5, 1.0), (11, 0.0, 0.5), (12, 0.0, 0.25), (99, 0.25, 0.0)],
+        2: [(10, 0.0, 1.0), (11, 0.0, 0.5), (12, 0.0, 0.25), (99, 0.2, 0.0)],
+        3: [(0, 0.1, 0.0), (11, 0.3, 0.5)],  # with a null own track no other is known to be new
+        None: [(10, 0.0, 1.0), (11, 0.0, 0.5), (12, 0.4, 0.25)],
+    }
+    none = R.candidate_lists(personal, top.limit(0)).where("user_id = 2").first()
+    assert [tuple(c) for c in none.candidates] == [(99, 0.2, 0.0)]
