@@ -258,3 +258,19 @@ def test_candidate_lists_build_no_map_and_no_filter_for_users_who_own_no_top_tra
     }
     none = R.candidate_lists(personal, top.limit(0)).where("user_id = 2").first()
     assert [tuple(c) for c in none.candidates] == [(99, 0.2, 0.0)]
+
+
+def test_sample_of_rows_writes_only_users_with_a_positive(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from crossfade.plans import registry
+
+    personal = spark.createDataFrame([(1, 10, 0.5), (2, 20, 0.2), (2, 21, 0.1)], "user_id long, track_id long, score double")
+    top = spark.createDataFrame([(30, 4.0), (31, 2.0)], "track_id long, popularity_score double")
+    events = spark.createDataFrame([(1, 99), (2, 30)], "user_id long, track_id long")
+    written, real = [], registry.tables.materialize
+    monkeypatch.setattr(registry, "_personal", lambda *args: personal)
+    monkeypatch.setattr(registry.tables, "materialize", lambda df: written.append(real(df)) or written[-1])
+    found = registry.sample_negatives_of_rows(SimpleNamespace(top_popular=top, test_events=events), spark, "")
+    assert {r.user_id for r in written[0].collect()} == {2}
+    assert sorted((r.track_id, r.target) for r in found.collect()) == [(20, 0), (21, 0), (30, 1), (31, 0)]
