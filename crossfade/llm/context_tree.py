@@ -10,8 +10,8 @@ mixture gives to its symbols after training; divided by the bytes it is the code
 Training and scoring are Spark jobs. The corpus is read once for counts of (context, byte) grams and of
 words, added up map-side. Trees are weighted in groups of grams with the same two nearest bytes; the top
 two levels (at most 256 x 255 nodes) are put together on the driver. Texts are scored in a second reading
-against the finished table of grams, sent out if it has at most ``GRAMS_SENT`` rows; a larger table is
-joined instead, with the same results.
+against a table of the grams that all texts together have most often, at most ``GRAMS_SENT`` rows; the other
+grams of each document, each of them rare, are joined with their scores.
 
 The base score (unigram words) uses the frequent words in a table of at most ``WORDS_SENT`` rows; the other
 words of each document are joined with their counts.
@@ -33,7 +33,7 @@ DEPTH = 5
 GRAMS_SENT = 4_000_000
 WORDS_SENT = 1 << 19
 EDGE = 0xFF  # never part of UTF-8: stands before a text's first byte and ends it
-_MERGE_AT = 1 << 22
+_MERGE_AT = 3 << 20
 
 _WORD, _GRAM, _DOCS = 0, 1, 2
 
@@ -56,15 +56,17 @@ def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray
 
 
 class _Counter:
-    """Counts of 64-bit keys, merged now and then so that memory follows the distinct keys."""
+    """Counts of 64-bit keys, in training texts and in all, merged now and then so that memory follows the
+    distinct keys."""
 
     def __init__(self) -> None:
         self.keys, self.counts, self.size = [], [], 0
 
-    def add(self, keys: np.ndarray, weight: int = 1) -> None:
+    def add(self, keys: np.ndarray, train: bool = True) -> None:
         keys = np.sort(keys)
         heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-        self._put(keys[heads], np.diff(heads, append=len(keys)) * weight)
+        seen = np.diff(heads, append=len(keys))
+        self._put(keys[heads], np.stack([seen * train, seen], axis=1))
 
     def _put(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
@@ -79,14 +81,15 @@ class _Counter:
             order = np.argsort(keys, kind="stable")
             keys, counts = keys[order], counts[order]
             heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            self.keys, self.counts = [keys[heads]], [np.add.reduceat(counts, heads)]
+            self.keys, self.counts = [keys[heads]], [np.add.reduceat(counts, heads, axis=0)]
             self.size = len(heads)
-        return (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
 
 
 def count_corpus(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n): training counts of words and of grams, with n = 0 for grams of other texts only; and
-    the number of training texts. ``docs`` has train (boolean) and text. Written once."""
+    """(kind, key, n, seen): training counts of words and of grams, with n = 0 for grams of other texts only; and
+    the number of training texts. ``seen`` counts grams in all texts. ``docs`` has train (boolean) and text. Written
+    once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs, texts = _Counter(), _Counter(), 0
@@ -98,20 +101,19 @@ def count_corpus(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 packed, bounds = grams(data, offsets, depth)
                 mine = np.repeat(own, np.diff(bounds))
                 pairs.add(packed[mine])
-                pairs.add(packed[~mine], 0)
+                pairs.add(packed[~mine], train=False)
                 found = find_words(data, offsets)
                 words.add(word_hashes(data, found)[own[found.row]])
         for kind, counter in ((_WORD, words), (_GRAM, pairs)):
             keys, counts = counter.merge()
             for i in range(0, len(keys), 1 << 18):
                 part = keys[i : i + (1 << 18)]
-                yield pa.record_batch(
-                    {"kind": np.full(len(part), kind, np.int32), "key": part.view(np.int64), "n": counts[i : i + (1 << 18)].astype(np.int64)}
-                )
-        yield pa.record_batch({"kind": np.array([_DOCS], np.int32), "key": np.array([0]), "n": np.array([texts])})
+                n, seen = counts[i : i + (1 << 18)].astype(np.int64).T
+                yield pa.record_batch({"kind": np.full(len(part), kind, np.int32), "key": part.view(np.int64), "n": n, "seen": seen})
+        yield pa.record_batch({"kind": np.array([_DOCS], np.int32), "key": np.array([0]), "n": np.array([texts]), "seen": np.array([texts])})
 
-    counted = docs.select("train", "text").mapInArrow(count, "kind int, key long, n long")
-    return materialize(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    counted = docs.select("train", "text").mapInArrow(count, "kind int, key long, n long, seen long")
+    return materialize(counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
 
 
 def _ln_gamma(x: np.ndarray) -> np.ndarray:
@@ -164,11 +166,11 @@ def _levels(packed: np.ndarray, counts: np.ndarray, depth: int, top: int):
 
 
 def fit(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, score): log10 probability of the symbol of each counted gram in its context. Written once."""
+    """(key, seen, score): log10 probability of the symbol of each counted gram in its context. Written once."""
     if depth < 2:
         raise ValueError("depth must be 2 or more")
     spark = counted.sparkSession
-    rows = counted.where(F.col("kind") == _GRAM).select("key", "n", F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("near"))
+    rows = counted.where(F.col("kind") == _GRAM).select("key", "n", "seen", F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("near"))
 
     def weigh(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         packed = table.column("key").to_numpy().view(np.uint64)
@@ -176,7 +178,7 @@ def fit(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
         last = levels[-1]
         return pa.table({"key": last.keys.view(np.int64), "zeros": last.zeros, "ones": last.ones, "ln": last.ln})
 
-    second = rows.groupBy("near").applyInArrow(weigh, "key long, zeros double, ones double, ln double")
+    second = rows.drop("seen").groupBy("near").applyInArrow(weigh, "key long, zeros double, ones double, ln double")
     first = second.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("key")).agg(F.sum("zeros"), F.sum("ones"), F.sum("ln"))
     first = first.orderBy("key").toPandas().to_numpy(np.float64).reshape(-1, 4)  # at most 256 x 255 rows
     keys = first[:, 0].astype(np.uint64)
@@ -197,21 +199,23 @@ def fit(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
             at = np.searchsorted(keys, levels[0].keys & np.uint64(mask))
             one = weight[at] * own[at] + (1 - weight[at]) * one
         chance = np.where(bit == 1, one[leaf], 1 - one[leaf])
-        return pa.table({"key": table.column("key"), "score": np.log10(chance).sum(axis=1)})
+        return pa.table({"key": table.column("key"), "seen": table.column("seen"), "score": np.log10(chance).sum(axis=1)})
 
-    return materialize(rows.groupBy("near").applyInArrow(predict, "key long, score double"))
+    return materialize(rows.groupBy("near").applyInArrow(predict, "key long, seen long, score double"))
 
 
-def _frequent(words: DataFrame) -> tuple[int, DataFrame]:
-    """The least count (a power of two) that at most WORDS_SENT words reach, and those words."""
-    sizes = words.groupBy(F.floor(F.log2("n")).alias("size")).count().collect()  # at most 63 rows
+def _frequent(rows: DataFrame, most: int) -> tuple[int, DataFrame]:
+    """The least ``seen`` (a power of two; 1 if all fit) that at most so many rows reach, and those rows."""
+    sizes = rows.groupBy(F.floor(F.log2("seen")).alias("size")).count().collect()  # at most 63 rows
     least, total = 62, 0
     for row in sorted(sizes, key=lambda r: -r["size"]):
         total += row["count"]
-        if total > WORDS_SENT:
+        if total > most:
             break
         least = row["size"]
-    return 1 << least, words.where(F.col("n") >= (1 << least))
+    else:
+        least = 0
+    return 1 << least, rows.where(F.col("seen") >= (1 << least))
 
 
 def score(docs: DataFrame, train, depth: int = DEPTH) -> DataFrame:
@@ -224,26 +228,25 @@ def score(docs: DataFrame, train, depth: int = DEPTH) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(train, F.lit(False)).alias("train"), "text")
     counted = count_corpus(rows, depth)
-    words = counted.where((F.col("kind") == _WORD) & (F.col("n") > 0)).select("key", "n")
+    words = counted.where((F.col("kind") == _WORD) & (F.col("n") > 0)).select("key", "n", "seen")
     texts = counted.where(F.col("kind") == _DOCS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + texts, distinct + (texts > 0)
     rest = 0.5 * (distinct + 1)
     value = lambda c: np.log10((c + 0.5) / (total + rest))
-    least, frequent = _frequent(words)
+    least, frequent = _frequent(words, WORDS_SENT)
     frequent = frequent.toArrow()
-    model = fit(counted, depth)
-    small = model.count() <= GRAMS_SENT
     tables = [HashTable(frequent.column("key").to_numpy().view(np.uint64), value(frequent.column("n").to_numpy()))]
-    if small:
-        model_rows = model.toArrow()
-        tables.append(HashTable(model_rows.column("key").to_numpy().view(np.uint64), model_rows.column("score").to_numpy()))
+    model = fit(counted, depth)
+    least_gram, frequent = _frequent(model, GRAMS_SENT)
+    frequent = frequent.select("key", "score").toArrow()
+    tables.append(HashTable(frequent.column("key").to_numpy().view(np.uint64), frequent.column("score").to_numpy()))
     sent = spark.sparkContext.broadcast(tables)
     end_score, end_known = float(value(texts)), int(texts > 0)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        common = sent.value[0]
+        common, common_grams = sent.value
         for batch in batches:
             for first, data, offsets in text_blocks(batch.column(2)):
                 size = len(offsets) - 1
@@ -252,12 +255,7 @@ def score(docs: DataFrame, train, depth: int = DEPTH) -> DataFrame:
                 scores, known = common.find(hashes)
                 rare = ~known
                 packed, bounds = grams(data, offsets, depth)
-                if small:
-                    values = np.add.reduceat(sent.value[1].find(packed)[0], bounds[:-1])
-                    own = pa.nulls(size, pa.list_(pa.int64()))
-                else:
-                    values = np.zeros(size)
-                    own = _lists(packed, np.diff(bounds))
+                values, there = common_grams.find(packed)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(number + np.arange(size)),
@@ -266,9 +264,9 @@ def score(docs: DataFrame, train, depth: int = DEPTH) -> DataFrame:
                         pa.array(np.bincount(found.row, minlength=size) + 1),
                         pa.array(np.bincount(found.row[known], minlength=size) + end_known),
                         pa.array(np.bincount(found.row, scores, size) + end_score),
-                        pa.array(values),
+                        pa.array(np.add.reduceat(values, bounds[:-1])),
                         _lists(hashes[rare], np.bincount(found.row[rare], minlength=size)),
-                        own,
+                        _lists(packed[~there], np.add.reduceat((~there).astype(np.int64), bounds[:-1])),
                     ],
                     ["row", "doc_id", "train", "n_tokens", "n_known", "base_score", "score", "rare", "grams"],
                 )
@@ -278,16 +276,16 @@ def score(docs: DataFrame, train, depth: int = DEPTH) -> DataFrame:
     rare array<bigint>, grams array<bigint>"""
     scored = materialize(rows.mapInArrow(look_up, schema))
     tail = scored.where(F.size("rare") > 0).select("row", F.explode("rare").alias("key")).groupBy("row", "key").count()
-    tail = tail.join(words.where(F.col("n") < least), "key", "left").groupBy("row").agg(
+    tail = tail.join(words.where(F.col("seen") < least).drop("seen"), "key", "left").groupBy("row").agg(
         F.sum(F.col("count") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / (total + rest))).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("count")).otherwise(0)).alias("known"),
     )
     full = scored.join(tail, "row", "left")
-    if not small:
-        parts = scored.select("row", F.explode("grams").alias("key")).groupBy("row", "key").count()
-        parts = parts.join(model.withColumnRenamed("score", "each"), "key")
-        full = full.join(parts.groupBy("row").agg(F.sum(F.col("count") * F.col("each")).alias("sum")), "row", "left")
-        full = full.withColumn("score", F.coalesce("sum", "score"))
+    if least_gram > 1:  # no key is hot here: all texts together have each of these grams fewer than least_gram times
+        parts = scored.where(F.size("grams") > 0).select("row", F.explode("grams").alias("key"))
+        parts = parts.join(model.where(F.col("seen") < least_gram).select("key", F.col("score").alias("each")), "key")
+        full = full.join(parts.groupBy("row").agg(F.sum("each").alias("sum")), "row", "left")
+        full = full.withColumn("score", F.col("score") + F.coalesce("sum", F.lit(0.0)))
     return full.select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),

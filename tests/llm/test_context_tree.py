@@ -100,3 +100,20 @@ def test_code_length_beats_even_bits(spark):
     df = spark.createDataFrame([(i, line * 5) for i in range(20)], "doc_id long, text string")
     for row in C.document_scores(df).collect():
         assert -row["score"] / math.log10(2) / len(line * 5) < 1
+
+
+def test_only_rare_grams_leave_a_text(spark, monkeypatch):
+    """Of a model larger than the table sent out, grams that stand in many texts are in the table, held-out texts too."""
+    line = "all work and no play makes jack a dull boy "
+    texts = [line * 5 + (f"{i} only here {i * 7919}" if i % 4 else "QUITE another story") for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = F.col("doc_id") % 4 != 0
+    whole = {r["doc_id"]: r["score"] for r in C.score(df, train).collect()}
+    written, write = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda rows: written.append(write(rows)) or written[-1])
+    monkeypatch.setattr(C, "GRAMS_SENT", 150)
+    got = {r["doc_id"]: r["score"] for r in C.score(df, train).collect()}
+    assert got == pytest.approx(whole, abs=1e-9)
+    left = Counter(k for table in written if "grams" in table.columns for r in table.select("grams").collect() for k in r["grams"] or ())
+    assert left and sum(left.values()) < sum(map(len, texts)) / 10
+    assert max(left.values()) < 15
